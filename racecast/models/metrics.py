@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from racecast.operators.ordered import DEFAULT_SPLIT, Split, running_total
+from racecast.session import materialise
 
 
 def confusion(
@@ -67,18 +68,22 @@ def auc(
     label: str = "label",
     score: str = "score",
     keys: Sequence[str] = (),
-    weight: str | Column | None = None,
+    weight: str | None = None,
     split: Split = DEFAULT_SPLIT,
 ) -> DataFrame:
     """(keys, auc): exact area under the ROC curve, tied scores counting half.
 
-    Rows are counted per score first. The running count over the ordered scores is cut into
-    segments like any other heavy key, so there is no single-task sort.
+    Rows are counted per score first, and the counts materialised for the passes that follow; with
+    ``weight`` (a count column) the table is taken to be counted already. The running count over the
+    ordered scores is cut into segments like any other heavy key, so there is no single-task sort.
     """
-    n = F.lit(1) if weight is None else (F.col(weight) if isinstance(weight, str) else weight)
+    if weight is None:
+        columns = [*keys, F.col(label).alias("label"), F.col(score).alias("score")]
+        df = materialise(df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")))
+        label, score, weight = "label", "score", "n"
     sides = {
-        "pos": F.when(F.col(label) == 1, n).otherwise(0),
-        "neg": F.when(F.col(label) == 0, n).otherwise(0),
+        "pos": F.when(F.col(label) == 1, F.col(weight)).otherwise(0),
+        "neg": F.when(F.col(label) == 0, F.col(weight)).otherwise(0),
     }
     totals = running_total(df, list(keys), [score], sides, split)
     below = (F.col("cum_neg") - F.col("neg")).cast("double") + F.col("neg") / F.lit(2)

@@ -176,7 +176,8 @@ def cross_validate(
     ``train`` has ``features`` and ``label`` columns. Returns the refitted best model and the table
     (reg_param, elastic_net_param, mean_auc), best first.
     """
-    fold = F.floor(split_share(keys, seed) * folds).cast("int")
+    # Not the hash of the train/test split, which the training rows' keys do not cover evenly.
+    fold = F.floor(split_share(keys, f"fold {seed}") * folds).cast("int")
     ready = materialise(train.select(FEATURES, LABEL, fold.alias("fold")))
     estimator = LogisticRegression()
     grid = (

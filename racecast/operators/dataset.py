@@ -38,7 +38,7 @@ def binary_label(c: str, positive: str, out: str | None = None) -> Column:
     return flag(F.col(c) == positive).alias(out or c)
 
 
-def split_share(keys: Sequence[str], seed: int = 123, portable: bool = False) -> Column:
+def split_share(keys: Sequence[str], seed: int | str = 123, portable: bool = False) -> Column:
     """Number in [0, 1) that depends on the key values and seed only.
 
     ``portable`` takes MD5 of the keys' text, which other engines compute too; the default hash is

@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from racecast.functions import flag
 from racecast.operators.ordered import DEFAULT_SPLIT, Split, running_total
 from racecast.operators.quality import missing
+from racecast.session import materialise
 
 Z_95 = 1.959963984540054
 WHISKER_REACH = 1.5
+SKETCH_ACCURACY = 10_000
 
 
 def mean_by(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -83,18 +85,27 @@ def histogram(df: DataFrame, value: str, bins: int = 20) -> DataFrame:
     """
     known, extent = _extent(df, value)
     widen = F.when(F.col("low") == F.col("high"), 0.5).otherwise(0.0)
-    edges = extent.select((F.col("low") - widen).alias("low"), (F.col("high") + widen).alias("high"))
-    low, high = edges.select("low").scalar(), edges.select("high").scalar()
-    number = F.least(F.width_bucket("v", low, high, F.lit(bins)), F.lit(bins)).cast("int")
-    counts = known.groupBy(number.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    width = (F.col("high") - F.col("low")) / bins
-    grid = edges.filter(F.col("low").isNotNull()).select(
-        F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"), "low", "high"
+    ends = extent.select((F.col("low") - widen).alias("low"), (F.col("high") + widen).alias("high"))
+    ends = ends.filter(F.col("low").isNotNull()).withColumn("width", (F.col("high") - F.col("low")) / bins)
+
+    def lower_edge(number: Column, low: Column, width: Column) -> Column:
+        return low + width * (number - 1)
+
+    low, high, width = (ends.select(c).scalar() for c in ("low", "high", "width"))
+    near = F.least(F.width_bucket("v", low, high, F.lit(bins)), F.lit(bins)).cast("int")
+    # The division may put a value on an edge into the wrong neighbour; compare with the edges.
+    at = F.col("near")
+    number = (
+        F.when((at > 1) & (F.col("v") < lower_edge(at, low, width)), at - 1)
+        .when((at < bins) & (F.col("v") >= lower_edge(at + 1, low, width)), at + 1)
+        .otherwise(at)
     )
+    counts = known.withColumn("near", near).groupBy(number.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    grid = ends.select(F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"), "low", "width")
     grid = grid.select(
         "bin",
-        (F.col("low") + width * (F.col("bin") - 1)).alias("low"),
-        (F.col("low") + width * F.col("bin")).alias("high"),
+        lower_edge(F.col("bin"), F.col("low"), F.col("width")).alias("low"),
+        lower_edge(F.col("bin") + 1, F.col("low"), F.col("width")).alias("high"),
     )
     return grid.join(counts, "bin", "left").na.fill(0, ["n"])
 
@@ -120,64 +131,80 @@ def density_grid(df: DataFrame, value: str, points: int = 200, bandwidth: float
     return sums.select(at.alias("x"), (F.col("s") / (n * h * math.sqrt(2 * math.pi))).alias("density"))
 
 
-def quartiles(
-    df: DataFrame, group: str, value: str, exact: bool = True, split: Split = DEFAULT_SPLIT
-) -> DataFrame:
-    """(group, n, low, q1, median, q3, high), with linear interpolation between ranks.
+QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
-    The exact form reads the values at the wanted ranks off the running count of each group, so no
-    task has to hold a whole group. ``exact=False`` uses a fixed-size sketch.
-    """
+
+def _value_counts_of(df: DataFrame, group: str, value: str) -> DataFrame:
     known = df.filter(~missing(df, value)).select(group, F.col(value).cast("double").alias("v"))
-    shares = {"q1": 0.25, "median": 0.5, "q3": 0.75}
-    if not exact:
-        picks = F.percentile_approx("v", list(shares.values()), 10_000)
-        rows = known.groupBy(group).agg(
-            F.count("v").alias("n"), F.min("v").alias("low"), picks.alias("q"), F.max("v").alias("high")
-        )
-        return rows.select(
-            group, "n", "low", *(F.get("q", i).alias(name) for i, name in enumerate(shares)), "high"
-        )
-    totals = known.groupBy(group).agg(
-        F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")
+    return known.groupBy(group, "v").agg(F.count(F.lit(1)).alias("k"))
+
+
+def _exact_quartiles(counts: DataFrame, group: str, split: Split) -> DataFrame:
+    """Quartiles from (group, v, k) counts: the values at the wanted ranks of the running count."""
+    totals = counts.groupBy(F.col(group).alias("_g")).agg(
+        F.sum("k").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")
     )
-    counted = running_total(known, [group], ["v"], {"k": F.lit(1)}, split)
-    sized = counted.join(totals.withColumnRenamed(group, "_g"), F.col(group).eqNullSafe(F.col("_g"))).drop("_g")
+    running = running_total(counts, [group], ["v"], {"k": "k"}, split)
+    sized = running.join(totals, F.col(group).eqNullSafe(F.col("_g"))).drop("_g")
     picks = []
-    for name, share in shares.items():
+    for name, share in QUARTILES.items():
         rank = F.lit(share) * (F.col("n") - 1)
         for end, at in (("below", F.floor(rank)), ("above", F.ceil(rank))):
             picks.append(F.min(F.when(F.col("cum_k") > at, F.col("v"))).alias(f"{name}_{end}"))
-    ends = sized.groupBy(group).agg(
-        F.max("n").alias("n"), F.max("low").alias("low"), F.max("high").alias("high"), *picks
-    )
+    ends = sized.groupBy(group).agg(*(F.max(c).alias(c) for c in ("n", "low", "high")), *picks)
 
     def between(name: str, share: float) -> Column:
         rank = F.lit(share) * (F.col("n") - 1)
         below, above = F.col(f"{name}_below"), F.col(f"{name}_above")
         return (below + (above - below) * (rank - F.floor(rank))).alias(name)
 
-    return ends.select(group, "n", "low", *(between(*item) for item in shares.items()), "high")
+    return ends.select(group, "n", "low", *(between(*item) for item in QUARTILES.items()), "high")
+
+
+def quartiles(
+    df: DataFrame, group: str, value: str, exact: bool = True, split: Split = DEFAULT_SPLIT
+) -> DataFrame:
+    """(group, n, low, q1, median, q3, high), with linear interpolation between ranks.
+
+    The exact form counts equal values and reads the quartiles off each group's running count, so no
+    task has to hold a whole group; the counts are materialised for its several passes.
+    ``exact=False`` is one pass with a fixed-size sketch and no interpolation.
+    """
+    if exact:
+        return _exact_quartiles(materialise(_value_counts_of(df, group, value)), group, split)
+    known = df.filter(~missing(df, value)).withColumn("_v", F.col(value).cast("double"))
+    rows = known.groupBy(group).agg(
+        F.count("_v").alias("n"),
+        F.min("_v").alias("low"),
+        F.percentile_approx("_v", list(QUARTILES.values()), SKETCH_ACCURACY).alias("_q"),
+        F.max("_v").alias("high"),
+    )
+    picks = [F.get("_q", i).alias(name) for i, name in enumerate(QUARTILES)]
+    return rows.select(group, "n", "low", *picks, "high")
 
 
 def box_stats(
     df: DataFrame, group: str, value: str, exact: bool = True, split: Split = DEFAULT_SPLIT
 ) -> DataFrame:
     """``quartiles`` with whiskers (outermost values within 1.5 IQR) and the number of outliers."""
-    box = quartiles(df, group, value, exact, split)
+    if exact:
+        counts = materialise(_value_counts_of(df, group, value))
+        box = _exact_quartiles(counts, group, split)
+    else:
+        counts = _value_counts_of(df, group, value)
+        box = quartiles(df, group, value, exact=False)
     reach = F.lit(WHISKER_REACH) * (F.col("q3") - F.col("q1"))
     fences = box.select(
         F.col(group).alias("_g"), (F.col("q1") - reach).alias("_from"), (F.col("q3") + reach).alias("_to")
     )
-    known = df.filter(~missing(df, value)).select(group, F.col(value).cast("double").alias("v"))
     inside = F.col("v").between(F.col("_from"), F.col("_to"))
     whiskers = (
-        known.join(fences, F.col(group).eqNullSafe(F.col("_g")))
+        counts.join(fences, F.col(group).eqNullSafe(F.col("_g")))
         .groupBy("_g")
         .agg(
             F.min(F.when(inside, F.col("v"))).alias("whisker_low"),
             F.max(F.when(inside, F.col("v"))).alias("whisker_high"),
-            F.count(F.when(~inside, 1)).alias("n_outliers"),
+            F.sum(F.when(inside, 0).otherwise(F.col("k"))).alias("n_outliers"),
         )
     )
     return box.join(whiskers, F.col(group).eqNullSafe(F.col("_g"))).drop("_g")

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.base import Estimator
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from racecast.functions import (
@@ -22,6 +24,7 @@ from racecast.models.training import compare_models, fit_models
 from racecast.operators.dataset import base_table, binary_label, clean_dimension, split_by_hash
 from racecast.operators.explore import (
     box_stats,
+    correlation,
     density_grid,
     histogram,
     mean_by,
@@ -45,7 +48,8 @@ from racecast.operators.features import (
     stop_summary,
     win_rate,
 )
-from racecast.operators.quality import clean_numeric, impute
+from racecast.operators.quality import clean_numeric, imputation_means, impute
+from racecast.session import materialise
 from racecast.sources import schema_report
 
 ENTRY = ["raceId", "driverId"]
@@ -140,20 +144,30 @@ def clean_races(races: DataFrame, strict_compat: bool = False) -> DataFrame:
     return labelled.drop("time", "url")
 
 
-def clean_results(results: DataFrame, fill_means: bool = True) -> DataFrame:
-    """Results with numeric columns, filled gaps, position group, experience and team success.
+def typed_results(results: DataFrame) -> DataFrame:
+    """Results with numeric columns; gaps are still open."""
+    typed = clean_numeric(results.drop("time", "position", "positionText"), ["milliseconds", *ZERO_FILLED])
+    return typed.withColumn("avg_lap_time_seconds", lap_time_ms("fastestLapTime") / 1_000).drop("fastestLapTime")
+
+
+def clean_results(results: DataFrame, fill_means: bool = True, history: bool = True) -> DataFrame:
+    """Results with filled gaps, position group, driver experience and team success.
 
     ``fill_means=False`` leaves the mean-filled columns open, to be filled later from training rows.
+    ``history=False`` omits experience and success, which need a shuffle, for reports without them.
     """
-    typed = clean_numeric(results.drop("time", "position", "positionText"), ["milliseconds", *ZERO_FILLED])
-    typed = typed.withColumn("avg_lap_time_seconds", lap_time_ms("fastestLapTime") / 1_000).drop("fastestLapTime")
+    typed = typed_results(results)
     filled = impute(typed, zero=ZERO_FILLED, mean=MEAN_FILLED if fill_means else ())
     grouped = filled.withColumn("position_group", position_group("positionOrder"))
+    if not history:
+        return grouped
     known = experience(grouped, "driverId", "raceId", "driver_experience")
     return group_success(known, "constructorId", "positionOrder", 3, "constructor_success")
 
 
-def clean_tables(tables: Tables, fill_means: bool = True, strict_compat: bool = False) -> Tables:
+def clean_tables(
+    tables: Tables, fill_means: bool = True, strict_compat: bool = False, history: bool = True
+) -> Tables:
     """The cleaned tables with their derived features, by the raw tables' names."""
     return {
         "circuits": clean_circuits(tables["circuits"]),
@@ -163,7 +177,7 @@ def clean_tables(tables: Tables, fill_means: bool = True, strict_compat: bool =
         "lapTimes": lap_features(tables["lapTimes"]),
         "pitStops": stop_features(tables["pitStops"]),
         "races": clean_races(tables["races"], strict_compat),
-        "results": clean_results(tables["results"], fill_means),
+        "results": clean_results(tables["results"], fill_means, history),
         "status": tables["status"],
     }
 
@@ -193,43 +207,93 @@ def training_table(base: DataFrame) -> DataFrame:
     return base.withColumn("status", binary_label("status", FINISHED)).drop(*NOT_FOR_TRAINING)
 
 
-def explore(tables: Tables, clean: Tables, years: Sequence[int] = YEARS) -> Tables:
-    """The exploration tables, each lazy, by topic."""
-    with_drivers, with_teams = results_with_drivers(clean), results_with_constructors(clean)
-    with_laps, base = results_with_laps(clean), race_base_table(clean)
-    won = F.col("positionOrder") == 1
-    in_years = base.filter(F.col("year").isin(*range(years[0], years[1] + 1)))
-    best = top_k(wins_and_points(in_years, "driverId", won, "points"), "wins", TOP_DRIVERS, "driverId")
-    names = named_drivers(tables["drivers"]).select("driverId", "driver_name")
-    failed = with_laps.filter(F.col("status").isin(*FAILURES))
-    return {
-        "races_per_year": histogram(clean["races"], "year"),
-        "races_per_year_density": density_grid(clean["races"], "year"),
-        "top_drivers": best.join(names, "driverId", "left"),
-        "constructor_wins": ranked(
-            wins_by(with_teams, "constructorId", won, "constructor_name"), "wins", "constructorId"
-        ),
-        "position_groups": value_counts(clean["results"], "position_group").orderBy("position_group"),
-        "races_vs_wins": pair_counts(with_drivers, "totalRaces", "totalWins"),
-        "win_rates": histogram(with_drivers, "winRate"),
-        "win_rates_density": density_grid(with_drivers, "winRate"),
-        "rank_by_experience": mean_by(with_drivers, ["driver_experience"], "rank"),
-        "wins_by_race_and_season": mean_by(with_laps, ["name", "season_name"], "totalWins"),
-        "lap_seconds_by_season": box_stats(with_laps, "season_name", "avg_lap_time_seconds"),
-        "position_change_by_season": box_stats(with_laps, "season_name", "avg_position_change"),
-        "stops_by_season": mean_by(base, ["season_name"], "total_pitStops"),
-        "stops_by_season_and_time": mean_by(
-            base.filter(F.col("time_of_day").isNotNull()), ["season_name", "time_of_day"], "total_pitStops"
-        ),
-        "stop_duration_by_season": box_stats(base, "season_name", "avg_pitStop_duration"),
-        "top_statuses": top_k(value_counts(with_laps, "status"), "n", TOP_STATUSES, "status"),
-        "failures_by_speed": value_counts(failed, ["fastestLapSpeed", "status"]),
-        "speed_by_position": mean_by(with_laps, ["positionOrder"], "fastestLapSpeed"),
-        "duration_vs_efficiency": pair_counts(base, "avg_pitStop_duration", "pitStop_efficiency"),
-        "efficiency_by_wins": mean_by(base, ["totalWins"], "pitStop_efficiency"),
-        "change_by_stop_duration": mean_by(base, ["avg_pitStop_duration"], "position_change_index"),
-        "joined_columns": schema_report(with_laps),
-    }
+@dataclass
+class RaceData:
+    """The raw tables with the joined tables the reports start from, each built when first used."""
+
+    tables: Tables
+    years: tuple[int, int] = YEARS
+
+    @cached_property
+    def clean(self) -> Tables:
+        return clean_tables(self.tables, history=False)
+
+    @cached_property
+    def with_drivers(self) -> DataFrame:
+        return results_with_drivers(self.clean)
+
+    @cached_property
+    def with_teams(self) -> DataFrame:
+        return results_with_constructors(self.clean)
+
+    @cached_property
+    def with_laps(self) -> DataFrame:
+        return results_with_laps(self.clean)
+
+    @cached_property
+    def base(self) -> DataFrame:
+        return race_base_table(self.clean)
+
+
+def _won() -> Column:
+    return F.col("positionOrder") == 1
+
+
+def top_drivers(data: RaceData) -> DataFrame:
+    """The drivers with most wins in the given years, with points and name."""
+    rows = data.base.filter(F.col("year").between(*data.years))
+    best = top_k(wins_and_points(rows, "driverId", _won(), "points"), "wins", TOP_DRIVERS, "driverId")
+    return best.join(named_drivers(data.tables["drivers"]).select("driverId", "driver_name"), "driverId", "left")
+
+
+def constructor_wins(data: RaceData) -> DataFrame:
+    wins = wins_by(data.with_teams, "constructorId", _won(), "constructor_name")
+    return ranked(wins, "wins", "constructorId")
+
+
+def rank_by_experience(data: RaceData) -> DataFrame:
+    known = experience(data.clean["results"], "driverId", "raceId", "driver_experience")
+    return mean_by(results_with_drivers({**data.clean, "results": known}), ["driver_experience"], "rank")
+
+
+def failures_by_speed(data: RaceData, failures: Sequence[str] = FAILURES) -> DataFrame:
+    """Rows per fastest-lap speed and status, for statuses that mean a failure."""
+    failed = data.with_laps.filter(F.col("status").isin(*failures))
+    return value_counts(failed, ["fastestLapSpeed", "status"])
+
+
+# The exploration tables by topic. Each is the data of one chart.
+EXPLORATIONS: dict[str, Callable[[RaceData], DataFrame]] = {
+    "races_per_year": lambda d: histogram(d.clean["races"], "year"),
+    "races_per_year_density": lambda d: density_grid(d.clean["races"], "year"),
+    "top_drivers": top_drivers,
+    "constructor_wins": constructor_wins,
+    "position_groups": lambda d: value_counts(d.clean["results"], "position_group").orderBy("position_group"),
+    "races_vs_wins": lambda d: pair_counts(d.with_drivers, "totalRaces", "totalWins"),
+    "races_wins_correlation": lambda d: correlation(d.with_drivers, "totalRaces", "totalWins"),
+    "win_rates": lambda d: histogram(d.with_drivers, "winRate"),
+    "win_rates_density": lambda d: density_grid(d.with_drivers, "winRate"),
+    "rank_by_experience": rank_by_experience,
+    "wins_by_race_and_season": lambda d: mean_by(d.with_laps, ["name", "season_name"], "totalWins"),
+    "lap_seconds_by_season": lambda d: box_stats(d.with_laps, "season_name", "avg_lap_time_seconds"),
+    "position_change_by_season": lambda d: box_stats(d.with_laps, "season_name", "avg_position_change"),
+    "stops_by_season": lambda d: mean_by(d.base, ["season_name"], "total_pitStops"),
+    "stops_by_season_and_time": lambda d: mean_by(
+        d.base.filter(F.col("time_of_day").isNotNull()), ["season_name", "time_of_day"], "total_pitStops"
+    ),
+    "stop_duration_by_season": lambda d: box_stats(d.base, "season_name", "avg_pitStop_duration"),
+    "top_statuses": lambda d: top_k(value_counts(d.with_laps, "status"), "n", TOP_STATUSES, "status"),
+    "failures_by_speed": failures_by_speed,
+    "speed_by_position": lambda d: mean_by(d.with_laps, ["positionOrder"], "fastestLapSpeed"),
+    "duration_vs_efficiency": lambda d: pair_counts(d.base, "avg_pitStop_duration", "pitStop_efficiency"),
+    "efficiency_by_wins": lambda d: mean_by(d.base, ["totalWins"], "pitStop_efficiency"),
+    "change_by_stop_duration": lambda d: mean_by(d.base, ["avg_pitStop_duration"], "position_change_index"),
+    "joined_columns": lambda d: schema_report(d.with_laps),
+}
+
+
+def explore(data: RaceData, topic: str) -> DataFrame:
+    return EXPLORATIONS[topic](data)
 
 
 def finish_models(
@@ -245,16 +309,11 @@ def finish_models(
     without one of the categories are left out.
     """
     categories = [c for c in features if c in CATEGORIES]
-    rows = training_table(base).na.drop("any", subset=categories)
-    train, test = split_by_hash(rows, ENTRY, ratio, seed)
     means = [c for c in MEAN_FILLED if c in features]
-    test = impute(test, mean=means, means=_means(train, means))
-    train = impute(train, mean=means)
+    rows = materialise(training_table(base).na.drop("any", subset=categories))
+    train, test = split_by_hash(rows, ENTRY, ratio, seed)
+    if means:
+        of_train = imputation_means(train, means)
+        train, test = impute(train, mean=means, means=of_train), impute(test, mean=means, means=of_train)
     models = fit_models(train, "status", features, categories, estimators)
     return models, compare_models(models, train, test)
-
-
-def _means(train: DataFrame, columns: Sequence[str]) -> DataFrame | None:
-    from racecast.operators.quality import imputation_means
-
-    return imputation_means(train, columns) if columns else None

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -28,19 +29,29 @@ def build_session(app: str = "racecast", shuffle_partitions: int = 8_000, **conf
     return builder.getOrCreate()
 
 
+def shared_folder(spark: SparkSession) -> str | None:
+    """The folder all nodes share, from ``spark.checkpoint.dir``.
+
+    Where it is unset, a local session takes a folder of its own; a cluster has none.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None and spark.sparkContext.master.startswith("local"):
+        folder = tempfile.mkdtemp(prefix="racecast-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Compute ``df`` once for several readers.
 
-    Written with ``checkpoint()`` to the folder in ``spark.checkpoint.dir``, so a lost executor
-    costs one re-read. Where no folder is set, a local session takes its own; a cluster, whose
-    nodes share no local folder, keeps the rows by ``persist`` with the plan as the way back.
+    Written as a table to the shared folder, so a lost executor costs one re-read and each reader
+    scans only its columns. Without such a folder the rows are kept by ``persist``, with the plan as
+    the way back. Tables of one application share a subfolder, to be deleted after use.
     """
     spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None and spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="racecast-checkpoint-")
+    folder = shared_folder(spark)
     if folder is None:
         return df.persist(StorageLevel.MEMORY_AND_DISK)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint()
+    path = f"{folder.rstrip('/')}/racecast-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

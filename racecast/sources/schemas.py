@@ -5,8 +5,13 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+TYPES = {"int": T.IntegerType(), "double": T.DoubleType(), "string": T.StringType(), "date": T.DateType()}
+
+
+def _schema(columns: str) -> T.StructType:
+    """Schema from 'name type, name type'; unlike ``fromDDL`` it needs no running session."""
+    fields = (column.split() for column in columns.split(","))
+    return T.StructType([T.StructField(name, TYPES[kind]) for name, kind in fields])
 
 
 # Table and column names of the race data set.
