@@ -73,19 +73,16 @@ def auc(
 ) -> DataFrame:
     """(keys, auc): exact area under the ROC curve, tied scores counting half.
 
-    Rows are counted per score first, and the counts materialised for the passes that follow; with
-    ``weight`` (a count column) the table is taken to be counted already. The running count over the
-    ordered scores is cut into segments like any other heavy key, so there is no single-task sort.
+    Rows are counted per score first, and the counts materialised for the passes that follow. The
+    running count over the ordered scores is cut into segments like any other heavy key, so there is
+    no single-task sort. ``weight`` names a column with the rows each row stands for.
     """
-    if weight is None:
-        columns = [*keys, F.col(label).alias("label"), F.col(score).alias("score")]
-        df = materialise(df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")))
-        label, score, weight = "label", "score", "n"
-    sides = {
-        "pos": F.when(F.col(label) == 1, F.col(weight)).otherwise(0),
-        "neg": F.when(F.col(label) == 0, F.col(weight)).otherwise(0),
-    }
-    totals = running_total(df, list(keys), [score], sides, split)
+    n = F.lit(1) if weight is None else F.col(weight)
+    sides = {"pos": F.when(F.col(label) == 1, n).otherwise(0), "neg": F.when(F.col(label) == 0, n).otherwise(0)}
+    per_score = df.groupBy(*keys, F.col(score).alias("score")).agg(*(F.sum(v).alias(k) for k, v in sides.items()))
+    totals = running_total(
+        materialise(per_score), list(keys), ["score"], {"pos": "pos", "neg": "neg"}, split, counted=True
+    )
     below = (F.col("cum_neg") - F.col("neg")).cast("double") + F.col("neg") / F.lit(2)
     pairs = F.sum(F.col("pos") * below)
     possible = F.sum("pos").cast("double") * F.sum("neg")

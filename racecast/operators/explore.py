@@ -62,11 +62,13 @@ def wins_and_points(df: DataFrame, key: str, won: Column, points: str) -> DataFr
 
 
 def wins_by(df: DataFrame, key: str, won: Column, name: str) -> DataFrame:
-    """(key, name, wins) of the keys with at least one win."""
-    counted = df.filter(F.col(key).isNotNull()).groupBy(key).agg(
-        F.max(name).alias(name), F.sum(flag(won)).alias("wins")
-    )
-    return counted.filter(F.col("wins") > 0)
+    """(key, name, wins) of the keys with at least one win.
+
+    Counted per key and name first: a text maximum over all rows would have to sort them.
+    """
+    counted = df.filter(F.col(key).isNotNull()).groupBy(key, name).agg(F.sum(flag(won)).alias("wins"))
+    named = counted.groupBy(key).agg(F.max(name).alias(name), F.sum("wins").alias("wins"))
+    return named.filter(F.col("wins") > 0)
 
 
 def _extent(df: DataFrame, value: str) -> tuple[DataFrame, DataFrame]:
@@ -91,7 +93,8 @@ def histogram(df: DataFrame, value: str, bins: int = 20) -> DataFrame:
     def lower_edge(number: Column, low: Column, width: Column) -> Column:
         return low + width * (number - 1)
 
-    low, high, width = (ends.select(c).scalar() for c in ("low", "high", "width"))
+    at_ends = ends.select(F.struct("low", "high", "width").alias("s")).scalar()
+    low, high, width = (at_ends.getField(c) for c in ("low", "high", "width"))
     near = F.least(F.width_bucket("v", low, high, F.lit(bins)), F.lit(bins)).cast("int")
     # The division may put a value on an edge into the wrong neighbour; compare with the edges.
     at = F.col("near")
@@ -119,7 +122,8 @@ def density_grid(df: DataFrame, value: str, points: int = 200, bandwidth: float
     known, extent = _extent(df, value)
     scale = F.lit(bandwidth) if bandwidth else F.col("spread") * F.pow("n", F.lit(-0.2))
     grid = extent.select("low", "n", ((F.col("high") - F.col("low")) / (points - 1)).alias("gap"), scale.alias("h"))
-    low, gap, h, n = (grid.select(c).scalar() for c in ("low", "gap", "h", "n"))
+    at_grid = grid.select(F.struct("low", "gap", "h", "n").alias("s")).scalar()
+    low, gap, h, n = (at_grid.getField(c) for c in ("low", "gap", "h", "n"))
     at = low + F.col("i") * gap
     kernel = F.col("k") * F.exp(F.lit(-0.5) * F.pow((at - F.col("v")) / h, F.lit(2)))
     placed = (
@@ -141,17 +145,15 @@ def _value_counts_of(df: DataFrame, group: str, value: str) -> DataFrame:
 
 def _exact_quartiles(counts: DataFrame, group: str, split: Split) -> DataFrame:
     """Quartiles from (group, v, k) counts: the values at the wanted ranks of the running count."""
-    totals = counts.groupBy(F.col(group).alias("_g")).agg(
-        F.sum("k").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")
-    )
-    running = running_total(counts, [group], ["v"], {"k": "k"}, split)
-    sized = running.join(totals, F.col(group).eqNullSafe(F.col("_g"))).drop("_g")
+    running = running_total(counts, [group], ["v"], {"k": "k"}, split, counted=True)
     picks = []
     for name, share in QUARTILES.items():
-        rank = F.lit(share) * (F.col("n") - 1)
+        rank = F.lit(share) * (F.col("all_k") - 1)
         for end, at in (("below", F.floor(rank)), ("above", F.ceil(rank))):
             picks.append(F.min(F.when(F.col("cum_k") > at, F.col("v"))).alias(f"{name}_{end}"))
-    ends = sized.groupBy(group).agg(*(F.max(c).alias(c) for c in ("n", "low", "high")), *picks)
+    ends = running.groupBy(group).agg(
+        F.max("all_k").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"), *picks
+    )
 
     def between(name: str, share: float) -> Column:
         rank = F.lit(share) * (F.col("n") - 1)
@@ -193,18 +195,15 @@ def box_stats(
     else:
         counts = _value_counts_of(df, group, value)
         box = quartiles(df, group, value, exact=False)
+    box = box.withColumnRenamed(group, "_g")
     reach = F.lit(WHISKER_REACH) * (F.col("q3") - F.col("q1"))
-    fences = box.select(
-        F.col(group).alias("_g"), (F.col("q1") - reach).alias("_from"), (F.col("q3") + reach).alias("_to")
-    )
-    inside = F.col("v").between(F.col("_from"), F.col("_to"))
-    whiskers = (
-        counts.join(fences, F.col(group).eqNullSafe(F.col("_g")))
-        .groupBy("_g")
+    inside = F.col("v").between(F.col("q1") - reach, F.col("q3") + reach)
+    return (
+        counts.join(box, F.col(group).eqNullSafe(F.col("_g")))
+        .groupBy(group, *(c for c in box.columns if c != "_g"))
         .agg(
             F.min(F.when(inside, F.col("v"))).alias("whisker_low"),
             F.max(F.when(inside, F.col("v"))).alias("whisker_high"),
             F.sum(F.when(inside, 0).otherwise(F.col("k"))).alias("n_outliers"),
         )
     )
-    return box.join(whiskers, F.col(group).eqNullSafe(F.col("_g"))).drop("_g")

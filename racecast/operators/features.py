@@ -110,7 +110,8 @@ def position_summary_direct(
     Changes within a key add up to first less last position, and its first row counts -1. This
     holds for known positions only: a NULL one stops the query, use the window form then.
     """
-    at = F.struct(*order)
+    # A single plain order column keeps the aggregation hashed; a tuple has to be sorted by key.
+    at = F.col(order[0]) if len(order) == 1 else F.struct(*order)
     known = F.coalesce(F.col(position), F.raise_error(F.lit(f"{position} is NULL: use position_change")).cast("int"))
     net = F.min_by(known, at) - F.max_by(known, at) + F.lit(NO_EARLIER_LAP)
     return df.groupBy(*keys).agg(

@@ -87,7 +87,7 @@ def with_segments(df: DataFrame, keys: Sequence[str], order: Sequence[str], cuts
 
 def with_border_values(rows: DataFrame, keys: Sequence[str], borders: DataFrame) -> DataFrame:
     """Attach the per-segment ``borders`` (one row per cut, so as small as the cuts)."""
-    near = borders.filter(F.col(SEG) > 0).withColumnsRenamed({k: f"_b_{k}" for k in (*keys, SEG)})
+    near = borders.withColumnsRenamed({k: f"_b_{k}" for k in (*keys, SEG)})
     same = [F.col(k).eqNullSafe(F.col(f"_b_{k}")) for k in keys]
     joined = rows.join(F.broadcast(near), all_of([*same, F.col(SEG) == F.col(f"_b_{SEG}")]), "left")
     return joined.drop(*(f"_b_{k}" for k in (*keys, SEG)))
@@ -121,18 +121,21 @@ def previous_value(
     )
 
 
-def _sums_before(
-    tagged: DataFrame, keys: Sequence[str], values: dict[str, Column]
-) -> DataFrame:
-    """Per segment of a heavy key, the sums over all its earlier segments."""
-    totals = (
+def _segment_sums(tagged: DataFrame, keys: Sequence[str], values: dict[str, Column]) -> DataFrame:
+    """Per segment of a heavy key: ``_before_v``, the sum over its earlier segments, and ``_all_v``."""
+    sums = (
         tagged.filter(F.col(SEG).isNotNull())
         .groupBy(*keys, SEG)
-        .agg(*(F.sum(v).alias(f"_before_{name}") for name, v in values.items()))
+        .agg(*(F.sum(v).alias(f"_sum_{name}") for name, v in values.items()))
     )
-    earlier = Window.partitionBy(*keys).orderBy(SEG).rowsBetween(Window.unboundedPreceding, -1)
-    return totals.select(
-        *keys, SEG, *(F.sum(f"_before_{name}").over(earlier).alias(f"_before_{name}") for name in values)
+    along = Window.partitionBy(*keys).orderBy(SEG)
+    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
+    whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return sums.select(
+        *keys,
+        SEG,
+        *(F.sum(f"_sum_{name}").over(earlier).alias(f"_before_{name}") for name in values),
+        *(F.sum(f"_sum_{name}").over(whole).alias(f"_all_{name}") for name in values),
     )
 
 
@@ -143,37 +146,43 @@ def running_total(
     values: dict[str, str | Column],
     split: Split = DEFAULT_SPLIT,
     sample_from: DataFrame | None = None,
+    counted: bool = False,
 ) -> DataFrame:
-    """One row per (keys, order): for each value ``v`` its sum ``v`` there and ``cum_v`` up to there.
+    """One row per (keys, order) with, for each value ``v``, three sums.
 
-    Rows are pre-aggregated per (keys, order) before any sort, so ties cost nothing however many.
-    With no keys the whole table is one ordered sequence. ``sample_from`` is a table with the same
-    keys and order columns that is cheaper to read than ``df``; cuts are taken from it.
+    ``v`` is the sum there, ``cum_v`` the sum up to there, ``all_v`` the sum over the key. Rows are
+    pre-aggregated per (keys, order) before any sort, so ties cost nothing however many; with
+    ``counted`` they are taken to be so already. With no keys the whole table is one sequence.
+    ``sample_from`` is a table with the same keys and order that is cheaper to read than ``df``.
     """
     values = {name: as_column(v) for name, v in values.items()}
     source = df if sample_from is None else sample_from
     whole = not keys
     if whole:
         # A computed constant keeps the segment lookup an equi-join.
-        one = {"_all": F.pmod(F.xxhash64(*order), F.lit(1))}
-        df, source, keys = df.withColumns(one), source.withColumns(one), ["_all"]
+        one = {"_one": F.pmod(F.xxhash64(*order), F.lit(1))}
+        df, source, keys = df.withColumns(one), source.withColumns(one), ["_one"]
     cuts = cut_points(source, keys, order, split)
-    per_order = df.groupBy(*keys, *order).agg(*(F.sum(v).alias(name) for name, v in values.items()))
+    if counted:
+        per_order = df.select(*keys, *order, *(v.alias(name) for name, v in values.items()))
+    else:
+        per_order = df.groupBy(*keys, *order).agg(*(F.sum(v).alias(name) for name, v in values.items()))
     up_to = Window.partitionBy(*keys, SEG).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    local = with_segments(per_order, keys, order, cuts).withColumns(
+    in_segment = Window.partitionBy(*keys, SEG)
+    local = with_segments(per_order, keys, order, cuts)
+    local = local.withColumns(
         {f"cum_{name}": F.sum(name).over(up_to) for name in values}
+        | {f"all_{name}": F.sum(name).over(in_segment) for name in values}
     )
-    before = _sums_before(with_segments(df, keys, order, cuts), keys, values)
-    joined = with_border_values(local, keys, before)
-    out = joined.withColumns(
-        {
-            f"cum_{name}": F.when(F.col(f"_before_{name}").isNull(), F.col(f"cum_{name}")).otherwise(
-                F.coalesce(F.col(f"cum_{name}"), F.lit(0)) + F.col(f"_before_{name}")
-            )
-            for name in values
-        }
-    )
-    return out.drop(SEG, *(f"_before_{name}" for name in values), *(keys if whole else []))
+    sums = _segment_sums(with_segments(df, keys, order, cuts), keys, values)
+    joined = with_border_values(local, keys, sums)
+    out = {}
+    for name in values:
+        before, cum = F.col(f"_before_{name}"), F.col(f"cum_{name}")
+        out[f"cum_{name}"] = F.when(before.isNull(), cum).otherwise(F.coalesce(cum, F.lit(0)) + before)
+        out[f"all_{name}"] = F.when(F.col(SEG).isNull(), F.col(f"all_{name}")).otherwise(F.col(f"_all_{name}"))
+    passing = [f"_{part}_{name}" for part in ("before", "all") for name in values]
+    return joined.withColumns(out).drop(SEG, *passing, *(keys if whole else []))
 
 
 def running_count(
@@ -187,6 +196,8 @@ def running_count(
     tagged = with_segments(df, keys, [order], cut_points(df, keys, [order], split))
     with_peers = Window.partitionBy(*keys, SEG).orderBy(order).rangeBetween(Window.unboundedPreceding, 0)
     local = tagged.withColumn(out, F.count(order).over(with_peers))
-    before = _sums_before(tagged, keys, {"n": F.when(F.col(order).isNotNull(), 1).otherwise(0)})
-    joined = with_border_values(local, keys, before)
-    return joined.withColumn(out, F.col(out) + F.coalesce(F.col("_before_n"), F.lit(0))).drop(SEG, "_before_n")
+    sums = _segment_sums(tagged, keys, {"n": F.when(F.col(order).isNotNull(), 1).otherwise(0)})
+    joined = with_border_values(local, keys, sums)
+    return joined.withColumn(out, F.col(out) + F.coalesce(F.col("_before_n"), F.lit(0))).drop(
+        SEG, "_before_n", "_all_n"
+    )

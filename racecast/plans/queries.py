@@ -540,7 +540,12 @@ def q_cross_validate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _race(spark: SparkSession, folder: str) -> race.RaceData:
-    return race.RaceData(stand_in.race_tables(spark, folder), stand_in.YEARS)
+    return race.RaceData(stand_in.race_tables(spark, folder), stand_in.YEARS, stand_in.LAP_ORDER)
+
+
+def _race_base(spark: SparkSession, folder: str, fill_means: bool = True) -> DataFrame:
+    tables = stand_in.race_tables(spark, folder)
+    return race.race_base_table(race.clean_tables(tables, fill_means, lap_order=stand_in.LAP_ORDER))
 
 
 @query
@@ -566,7 +571,7 @@ def q_race_results(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def q_race_base_table(spark: SparkSession, folder: str) -> DataFrame:
-    base = race.race_base_table(race.clean_tables(stand_in.race_tables(spark, folder)))
+    base = _race_base(spark, folder)
     texts = base.withColumn("date", F.col("date").cast("string"))
     floats = ("fastestLapSpeed", "avg_lap_time_seconds", "avg_position_change", "position_change_index")
     return rounded(texts, 4, *floats)
@@ -574,7 +579,7 @@ def q_race_base_table(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def q_race_training_table(spark: SparkSession, folder: str) -> DataFrame:
-    base = race.race_base_table(race.clean_tables(stand_in.race_tables(spark, folder)))
+    base = _race_base(spark, folder)
     rows = race.training_table(base)
     return rows.groupBy("status", "position_group", "season_name", "time_of_day", "pitStopFrequencyLabel").agg(
         F.count(F.lit(1)).alias("n"), F.sum("driver_experience").alias("experience"), F.sum("age").alias("ages")
@@ -583,16 +588,14 @@ def q_race_training_table(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def q_race_model_report(spark: SparkSession, folder: str) -> DataFrame:
-    clean = race.clean_tables(stand_in.race_tables(spark, folder), fill_means=False)
-    _, report = race.finish_models(race.race_base_table(clean))
+    _, report = race.finish_models(_race_base(spark, folder, fill_means=False))
     return report
 
 
 @query
 def q_race_top_features(spark: SparkSession, folder: str) -> DataFrame:
-    clean = race.clean_tables(stand_in.race_tables(spark, folder), fill_means=False)
     trees = {"decision_tree": DecisionTreeClassifier()}
-    _, report = race.finish_models(race.race_base_table(clean), race.TOP_FEATURES, trees)
+    _, report = race.finish_models(_race_base(spark, folder, fill_means=False), race.TOP_FEATURES, trees)
     return report
 
 

@@ -53,6 +53,7 @@ from racecast.session import materialise
 from racecast.sources import schema_report
 
 ENTRY = ["raceId", "driverId"]
+LAP_ORDER = ("lap",)
 Tables = dict[str, DataFrame]
 
 # Names of derived columns, statuses, and column lists of the data set.
@@ -117,15 +118,16 @@ def driver_features(drivers: DataFrame, results: DataFrame) -> DataFrame:
     return driver_profile(ages, wins, "driverId").withColumnsRenamed(WIN_NAMES)
 
 
-def lap_features(laps: DataFrame, direct: bool = True) -> DataFrame:
+def lap_features(laps: DataFrame, direct: bool = True, order: Sequence[str] = LAP_ORDER) -> DataFrame:
     """raceId, driverId, avg_position_change, max_position, position_change_index.
 
-    ``direct`` needs no sort; use the other form if a position may be NULL.
+    ``order`` must be unique within an entry. ``direct`` needs no sort; use the other form if a
+    position may be NULL.
     """
     if direct:
-        summary = position_summary_direct(laps, ENTRY, ["lap", "position"], "position")
+        summary = position_summary_direct(laps, ENTRY, order, "position")
     else:
-        changes = position_change(laps, ENTRY, ["lap", "position"], "position")
+        changes = position_change(laps, ENTRY, order, "position")
         summary = position_summary(changes, ENTRY, "position_change", "position")
     return summary.withColumn("position_change_index", position_change_index())
 
@@ -166,7 +168,11 @@ def clean_results(results: DataFrame, fill_means: bool = True, history: bool = T
 
 
 def clean_tables(
-    tables: Tables, fill_means: bool = True, strict_compat: bool = False, history: bool = True
+    tables: Tables,
+    fill_means: bool = True,
+    strict_compat: bool = False,
+    history: bool = True,
+    lap_order: Sequence[str] = LAP_ORDER,
 ) -> Tables:
     """The cleaned tables with their derived features, by the raw tables' names."""
     return {
@@ -174,7 +180,7 @@ def clean_tables(
         "constructorResults": clean_constructor_results(tables["constructorResults"]),
         "constructors": clean_constructors(tables["constructors"]),
         "drivers": driver_features(tables["drivers"], tables["results"]),
-        "lapTimes": lap_features(tables["lapTimes"]),
+        "lapTimes": lap_features(tables["lapTimes"], order=lap_order),
         "pitStops": stop_features(tables["pitStops"]),
         "races": clean_races(tables["races"], strict_compat),
         "results": clean_results(tables["results"], fill_means, history),
@@ -213,10 +219,11 @@ class RaceData:
 
     tables: Tables
     years: tuple[int, int] = YEARS
+    lap_order: Sequence[str] = LAP_ORDER
 
     @cached_property
     def clean(self) -> Tables:
-        return clean_tables(self.tables, history=False)
+        return clean_tables(self.tables, history=False, lap_order=self.lap_order)
 
     @cached_property
     def with_drivers(self) -> DataFrame:

@@ -14,6 +14,8 @@ from racecast.sources.schemas import NULL_TEXT
 
 FIRST_DAY = "1995-01-01"
 YEARS = (1996, 1998)
+# Line numbers may repeat within an order; equal laps with equal positions are interchangeable.
+LAP_ORDER = ("lap", "position")
 
 # Statuses of the derived entries.
 STATUSES = (
