@@ -89,9 +89,14 @@ def clean_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: clean_int(c) for c in columns})
 
 
+def present(df: DataFrame, c: str) -> Column:
+    """The column with NaN as NULL."""
+    return F.nanvl(F.col(c), F.lit(None).cast(df.schema[c].dataType)) if _is_floating(df, c) else F.col(c)
+
+
 def imputation_means(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row with the mean of each column's present values."""
-    return df.agg(*(F.avg(F.when(~missing(df, c), F.col(c))).alias(c) for c in columns))
+    return df.agg(*(F.avg(present(df, c)).alias(c) for c in columns))
 
 
 def impute(
@@ -103,12 +108,13 @@ def impute(
     """Fill gaps with 0 or with column means.
 
     The means are those of ``df``, or the row ``means`` (``imputation_means`` of the training
-    rows). They enter the plan as a scalar subquery, so nothing is fetched to the driver. A mean
+    rows). They enter the plan as one scalar subquery, so nothing is fetched to the driver. A mean
     put into an int column loses its fraction.
     """
-    means = imputation_means(df, mean) if means is None and mean else means
-    filled = {c: F.when(missing(df, c), F.lit(0).cast(df.schema[c].dataType)).otherwise(F.col(c)) for c in zero}
-    for c in mean:
-        value = means.select(c).scalar().cast(df.schema[c].dataType)
-        filled[c] = F.when(missing(df, c), value).otherwise(F.col(c))
+    filled = {c: F.coalesce(present(df, c), F.lit(0).cast(df.schema[c].dataType)) for c in zero}
+    if mean:
+        means = imputation_means(df, mean) if means is None else means
+        row = means.select(F.struct(*mean).alias("s")).scalar()
+        for c in mean:
+            filled[c] = F.coalesce(present(df, c), row.getField(c).cast(df.schema[c].dataType))
     return df.withColumns(filled)

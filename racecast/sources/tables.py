@@ -2,21 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from racecast.functions import clean_float, clean_int
 from racecast.sources.schemas import NULL_TEXT, SCHEMAS
 
 
+def _cast(c: Column, source: T.DataType, target: T.DataType) -> Column:
+    if isinstance(source, T.StringType) and isinstance(target, T.IntegerType):
+        return clean_int(c)
+    if isinstance(source, T.StringType) and isinstance(target, T.DoubleType):
+        return clean_float(c)
+    return c.try_cast(target)
+
+
 def _typed(raw: DataFrame, name: str) -> DataFrame:
     """Known columns in their type (bad values NULL), further columns as they are."""
-    present = {c.lower(): c for c in raw.columns}
+    present = {f.name.lower(): f for f in raw.schema}
     absent = [f.name for f in SCHEMAS[name] if f.name.lower() not in present]
     if absent:
         raise ValueError(f"table {name} lacks the columns {absent}")
-    known = [F.col(f"`{present[f.name.lower()]}`").try_cast(f.dataType).alias(f.name) for f in SCHEMAS[name]]
-    names = {f.name.lower() for f in SCHEMAS[name]}
-    return raw.select(*known, *(F.col(f"`{c}`") for c in raw.columns if c.lower() not in names))
+    known = []
+    for field in SCHEMAS[name]:
+        found = present.pop(field.name.lower())
+        known.append(_cast(F.col(f"`{found.name}`"), found.dataType, field.dataType).alias(field.name))
+    return raw.select(*known, *(F.col(f"`{f.name}`") for f in present.values()))
 
 
 def load_table(spark: SparkSession, base_dir: str, name: str, fmt: str = "csv") -> DataFrame:
