@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.base import Estimator
@@ -40,7 +41,7 @@ def default_classifiers() -> dict[str, Estimator]:
 def fit_categories(
     train: DataFrame, categories: Sequence[str], suffix: str = "_index", limit: int = MAX_CATEGORIES
 ) -> PipelineModel:
-    """Index text categories: the most frequent is 0, ties in alphabetical order.
+    """Index text categories, in one pass: the most frequent is 0, ties in alphabetical order.
 
     Indexing brings each column's labels to the driver, so a column with far more than ``limit``
     of them is refused. Categories first seen later get an index of their own.
@@ -50,8 +51,11 @@ def fit_categories(
         wide = [c for c in categories if sizes[c] > limit]
         if wide:
             raise ValueError(f"too many distinct values to index as categories: {wide}")
-    stages = [StringIndexer(inputCol=c, outputCol=c + suffix, handleInvalid="keep") for c in categories]
-    return Pipeline(stages=stages).fit(train.na.drop("any", subset=list(categories)) if categories else train)
+    if not categories:
+        return PipelineModel(stages=[])
+    names = list(categories)
+    indexer = StringIndexer(inputCols=names, outputCols=[c + suffix for c in names], handleInvalid="keep")
+    return Pipeline(stages=[indexer]).fit(train.na.drop("any", subset=names))
 
 
 def fit_features(train: DataFrame, label: str, features: Sequence[str]) -> Model:
@@ -87,29 +91,49 @@ def fit_models(
     return {name: PipelineModel(stages=[indexers, formula, model]) for name, model in fitted.items()}
 
 
+def _scored(models: dict[str, PipelineModel], rows: DataFrame, score: str) -> DataFrame:
+    """(model, label, prediction, score) of models with the same encoding, from one pass over the rows."""
+    encoding = next(iter(models.values())).stages[:-1]
+    out = PipelineModel(stages=encoding).transform(rows)
+    structs = []
+    for name, model in models.items():
+        last = model.stages[-1]
+        vectors = [c for c in ("rawPrediction", "probability") if last.hasParam(f"{c}Col")]
+        if score not in vectors:
+            raise ValueError(f"{name} gives no {score}")
+        renamed = {last.getParam(f"{c}Col"): f"{name}__{c}" for c in (*vectors, "prediction")}
+        out = last.copy(renamed).transform(out)
+        structs.append(
+            F.struct(
+                F.lit(name).alias("model"),
+                F.col(LABEL).alias("label"),
+                F.col(f"{name}__prediction").alias("prediction"),
+                F.get(vector_to_array(F.col(f"{name}__{score}")), 1).alias("score"),
+            )
+        )
+    return out.select(F.inline(F.array(*structs)))
+
+
 def scored_counts(
     models: dict[str, PipelineModel], parts: dict[str, DataFrame], score: str = "rawPrediction"
 ) -> DataFrame:
     """Rows per (model, split, label, prediction, score), computed once.
 
+    Models that share their encoding, as those of one ``fit_models`` do, are scored in one pass.
     ``score`` names the vector whose second entry orders the rows. A tree's ``rawPrediction`` holds
     the training rows in its leaf, not a share; pass ``probability`` to order by shares.
     """
-    tables = []
-    for model_name, model in models.items():
-        for part, rows in parts.items():
-            out = model.transform(rows).select(
-                F.lit(model_name).alias("model"),
-                F.lit(part).alias("split"),
-                F.col(LABEL).alias("label"),
-                F.col("prediction"),
-                F.get(vector_to_array(F.col(score)), 1).alias("score"),
-            )
-            tables.append(out.groupBy(*out.columns).agg(F.count(F.lit(1)).alias("n")))
-    union = tables[0]
-    for table in tables[1:]:
-        union = union.unionByName(table)
-    return materialise(union)
+    alike: dict[tuple[str, ...], dict[str, PipelineModel]] = {}
+    for name, model in models.items():
+        alike.setdefault(tuple(stage.uid for stage in model.stages[:-1]), {})[name] = model
+    tables = [
+        _scored(group, rows, score).withColumn("split", F.lit(part))
+        for part, rows in parts.items()
+        for group in alike.values()
+    ]
+    union = reduce(DataFrame.unionByName, tables)
+    keys = ["model", "split", "label", "prediction", "score"]
+    return materialise(union.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")))
 
 
 def compare_models(
