@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from racecast.functions import as_column
 
 SEG = "_seg"
+FAN = 32
 
 
 @dataclass(frozen=True)
@@ -46,7 +47,8 @@ def all_of(conditions: Sequence[Column]) -> Column:
 def cut_points(df: DataFrame, keys: Sequence[str], order: Sequence[str], split: Split = DEFAULT_SPLIT) -> DataFrame:
     """Segments (keys, _seg, _lo, _hi) of the keys estimated to hold ``split.min_rows`` or more.
 
-    A segment holds the rows with ``_lo <= order tuple < _hi``; NULL stands for an open end.
+    A segment holds the rows with ``_lo <= order tuple < _hi``; NULL stands for an open end. ``FAN``
+    segments in a row make a block (_block, _block_lo, _block_hi).
     """
     n_rows = df.agg(F.count(F.lit(1)).alias("n"))
     step = F.greatest(F.lit(1).cast("long"), (n_rows.scalar() / F.lit(split.sample_rows)).cast("long"))
@@ -67,22 +69,49 @@ def cut_points(df: DataFrame, keys: Sequence[str], order: Sequence[str], split:
     cuts = ranked.filter(
         (F.col("_at") % every == 0) & (F.col("_size") > every) & (F.col("_size") * step >= split.min_rows)
     )
-    return cuts.select(
+    fine, coarse = F.col("_at") / every, F.col("_at") / (every * FAN)
+    in_block = Window.partitionBy(*keys, "_block").orderBy(*order)
+    ends = cuts.withColumn("_block", coarse.cast("int")).select(
         *keys,
-        (F.col("_at") / every).cast("int").alias(SEG),
+        "_block",
+        fine.cast("int").alias(SEG),
         F.when(F.col("_at") > 0, at).alias("_lo"),
         F.lead(at).over(in_order).alias("_hi"),
+        *order,
+    )
+    # Within a block all segments know the block's ends.
+    whole_block = in_block.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return ends.select(
+        *keys,
+        "_block",
+        F.first("_lo").over(whole_block).alias("_block_lo"),
+        F.last("_hi").over(whole_block).alias("_block_hi"),
+        SEG,
+        "_lo",
+        "_hi",
     )
 
 
-def with_segments(df: DataFrame, keys: Sequence[str], order: Sequence[str], cuts: DataFrame) -> DataFrame:
-    """``df`` with its segment number; NULL for keys without cuts."""
-    at = F.struct(*order)
-    near = cuts.withColumnsRenamed({k: f"_cut_{k}" for k in keys})
+def _lookup(df: DataFrame, table: DataFrame, keys: Sequence[str], at: Column, lo: str, hi: str) -> DataFrame:
+    """Left join with the row of ``table`` (broadcast) that has the same keys and ``lo <= at < hi``."""
+    near = table.withColumnsRenamed({k: f"_cut_{k}" for k in keys})
     same_key = [F.col(k).eqNullSafe(F.col(f"_cut_{k}")) for k in keys]
-    inside = [F.col("_lo").isNull() | (at >= F.col("_lo")), F.col("_hi").isNull() | (at < F.col("_hi"))]
+    inside = [F.col(lo).isNull() | (at >= F.col(lo)), F.col(hi).isNull() | (at < F.col(hi))]
     joined = df.join(F.broadcast(near), all_of(same_key + inside), "left")
-    return joined.drop("_lo", "_hi", *(f"_cut_{k}" for k in keys))
+    return joined.drop(lo, hi, *(f"_cut_{k}" for k in keys))
+
+
+def with_segments(df: DataFrame, keys: Sequence[str], order: Sequence[str], cuts: DataFrame) -> DataFrame:
+    """``df`` with its segment number; NULL for keys without cuts.
+
+    A row is compared with its key's blocks, then with the segments of its block: some fifty
+    comparisons where a key has hundreds of segments.
+    """
+    at = F.struct(*order)
+    blocks = cuts.filter(F.col(SEG) % FAN == 0).select(*keys, "_block", "_block_lo", "_block_hi")
+    segments = cuts.select(*keys, "_block", SEG, "_lo", "_hi")
+    in_block = _lookup(df, blocks, keys, at, "_block_lo", "_block_hi")
+    return _lookup(in_block, segments, [*keys, "_block"], at, "_lo", "_hi").drop("_block")
 
 
 def with_border_values(rows: DataFrame, keys: Sequence[str], borders: DataFrame) -> DataFrame:

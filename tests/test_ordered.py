@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from racecast.operators import ordered as O
 from racecast.operators.features import experience, position_change, win_rate_as_of
 
-SPLITS = [O.DEFAULT_SPLIT, O.Split(sample_rows=200, cut_every=4, min_rows=50), O.Split(2_000, 7, 1)]
+SPLITS = [O.DEFAULT_SPLIT, O.Split(sample_rows=200, cut_every=4, min_rows=50), O.Split(2_000, 3, 1)]
 
 
 @pytest.fixture(scope="module")
