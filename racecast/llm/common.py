@@ -100,3 +100,12 @@ def ship_code(spark: SparkSession) -> None:
             out.write(file, file.relative_to(package.parent))
     context.addPyFile(str(where))
     _shipped.add(context.applicationId)
+
+
+def tokenizer_path(name: str, folder: str | None = None) -> str:
+    """Place of a public vocabulary file, in ``folder`` or where it is installed on every node."""
+    if folder is not None:
+        return f"{folder}/{name}"
+    import public_tokenizers
+
+    return public_tokenizers.path(name)

@@ -8,8 +8,8 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from racecast.llm import language_id
-from racecast.llm.common import ship_code, table
+from racecast.llm import language_id, packing
+from racecast.llm.common import Scratch, ship_code, table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -42,3 +42,12 @@ def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
         F.col("lang_score").alias("score"),
         F.col("lang_accepted").alias("accepted"),
     )
+
+
+@query
+def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents packed into sequences of 2048 tokens."""
+    packed = packing.pack(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"), Scratch(spark))
+    return packed.select(
+        "doc_id", "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "sequence_id", "offset"
+    )
