@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from racecast.llm import language_id, packing
+from racecast.llm import language_id, packing, warc
 from racecast.llm.common import Scratch, ship_code, table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,3 +51,29 @@ def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed.select(
         "doc_id", "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "sequence_id", "offset"
     )
+
+
+@query
+def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages written as WARC archives and read back."""
+    archives = Scratch(spark).new()
+    warc.write(table(spark, folder, "pages"), archives)
+    read = warc.read(spark, archives).drop("payload", "url")
+    return warc.resolved(read).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "valid"
+    )
+
+
+_NIBBLE = "instr('0123456789abcdef', substr(sha, {} + 1, 1)) - 1"
+ORACLES["op1_warc"] = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+d AS (SELECT page_id, strlen(body) AS payload_bytes, sha1(body) AS sha, max(page_id) OVER (PARTITION BY body) AS f FROM p)
+SELECT page_id, payload_bytes,
+    list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + (((
+        ({_NIBBLE.format("CAST(i * 5 // 4 AS INT)")}) * 16 + ({_NIBBLE.format("CAST(i * 5 // 4 + 1 AS INT)")}))
+        >> CAST(3 - i * 5 % 4 AS INT)) & 31) AS INT), 1)), 'string_agg', '') AS payload_digest,
+    CASE WHEN page_id = f THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id = f THEN NULL ELSE f END AS refers_to,
+    true AS valid
+FROM d
+"""
