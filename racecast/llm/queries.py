@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from racecast.llm import language_id, packing, warc
+from racecast.llm import html_text, language_id, packing, warc
 from racecast.llm.common import Scratch, ship_code, table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,3 +77,9 @@ SELECT page_id, payload_bytes,
     true AS valid
 FROM d
 """
+
+
+@query
+def op2_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract(table(spark, folder, "pages"))
