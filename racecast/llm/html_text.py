@@ -139,6 +139,8 @@ def blocks(html: str) -> list[Node]:
             if tag == "a":
                 links = max(0, links - 1)
             if tag in INLINE:
+                if stack and stack[-1][0] == tag:
+                    pop(1)
                 continue
             for depth in range(len(stack) - 1, -1, -1):
                 if stack[depth][0] == tag:
