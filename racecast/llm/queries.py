@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from racecast.llm import html_text, language_id, packing, warc
+from racecast.llm import html_text, language_id, multi_index, packing, voronoi, warc
 from racecast.llm.common import Scratch, ship_code, table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,3 +83,30 @@ FROM d
 def op2_html_text(spark: SparkSession, folder: str) -> DataFrame:
     """Main text of every page."""
     return html_text.extract(table(spark, folder, "pages"))
+
+
+@query
+def op3_voronoi_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten highest integer inner products of every hundredth vector."""
+    data = voronoi.lattice(table(spark, folder, "embeddings"), "vec_id", "embedding")
+    return voronoi.top_inner_products(data, F.col("id") % 100 == 0, Scratch(spark))
+
+
+ORACLES["op3_voronoi_top_k"] = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e FROM embeddings
+    WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
+    FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0
+), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
+@query
+def op7_multi_index(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten nearest vectors found for every hundredth vector."""
+    vectors = table(spark, folder, "embeddings")
+    return multi_index.nearest(vectors, "vec_id", "embedding", F.col("id") % 100 == 0, Scratch(spark))
