@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from racecast.llm.common import text_column
-from racecast.llm.words import ODD, mix
+from racecast.llm.words import ODD, HashArray, mix
 
 ORDER = 5
 PAD = "\x00" * ORDER
@@ -68,38 +68,6 @@ def gram_keys(points: np.ndarray, length: int, back: int = 0) -> np.ndarray:
     return mix(sums + np.uint64(length))
 
 
-@dataclass
-class HashArray:
-    """Rows of values by 64-bit hash: sorted hashes, with a directory over their leading bits."""
-
-    keys: np.ndarray
-    values: np.ndarray
-    shift: np.uint64 = field(init=False)
-    starts: np.ndarray = field(init=False)
-
-    def __post_init__(self) -> None:
-        bits = max(1, int(len(self.keys)).bit_length() + 1)
-        self.shift = np.uint64(64 - bits)
-        heads = np.arange(2**bits + 1, dtype=np.float64)
-        edges = (self.keys >> self.shift).astype(np.int64)
-        self.starts = np.searchsorted(edges, heads[:-1].astype(np.int64)).astype(np.int32)
-        self.starts = np.append(self.starts, np.int32(len(self.keys)))
-
-    def find(self, wanted: np.ndarray) -> np.ndarray:
-        """Row of each hash, or -1."""
-        head = (wanted >> self.shift).astype(np.int64)
-        at, end = self.starts[head], self.starts[head + 1]
-        found = np.full(len(wanted), -1, np.int32)
-        open_ = np.flatnonzero(at < end)
-        at, end, left = at[open_], end[open_], wanted[open_]
-        while len(open_):
-            hit = self.keys[at] == left
-            found[open_[hit]] = at[hit]
-            more = ~hit & (at + 1 < end)
-            open_, at, end, left = open_[more], at[more] + 1, end[more], left[more]
-        return found
-
-
 @dataclass
 class Model:
     """``grams[k]``: log probability of each known k-gram in every language; ``contexts[k]``: log weight

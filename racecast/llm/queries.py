@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from racecast.llm import html_text, language_id, multi_index, packing, voronoi, warc
+from racecast.llm import byte_bpe, html_text, language_id, multi_index, packing, voronoi, warc
 from racecast.llm.common import Scratch, ship_code, table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,3 +110,12 @@ def op7_multi_index(spark: SparkSession, folder: str) -> DataFrame:
     """The ten nearest vectors found for every hundredth vector."""
     vectors = table(spark, folder, "embeddings")
     return multi_index.nearest(vectors, "vec_id", "embedding", F.col("id") % 100 == 0, Scratch(spark))
+
+
+@query
+def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Every whole text encoded and decoded."""
+    import public_tokenizers
+
+    path = tokenizer_path("byte_bpe_multi_50k.tiktoken")
+    return byte_bpe.digests(table(spark, folder, "documents"), path, public_tokenizers.PATTERN)

@@ -6,6 +6,8 @@ bytes modulo 2^64, mixed; different words share a hash with a chance of about 2^
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
+
 import numpy as np
 
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -21,7 +23,7 @@ def powers(n: int) -> np.ndarray:
     """ODD^0 .. ODD^(n-1) modulo 2^64."""
     global _powers
     while len(_powers) < n:
-        step = _powers[-1] * ODD
+        step = np.uint64(int(_powers[-1]) * int(ODD) % 2**64)
         _powers = np.concatenate([_powers, _powers * step])
     return _powers
 
@@ -98,3 +100,35 @@ def sequence_keys(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, n
         sums[full] = np.add.reduceat(mix(hashes + salt) * power, (ends - counts)[full])
         out.append(mix(sums + counts.astype(np.uint64)))
     return out[0], out[1]
+
+
+@dataclass
+class HashArray:
+    """Rows of values by 64-bit hash: sorted hashes, with a directory over their leading bits."""
+
+    keys: np.ndarray
+    values: np.ndarray
+    shift: np.uint64 = field(init=False)
+    starts: np.ndarray = field(init=False)
+
+    def __post_init__(self) -> None:
+        bits = max(1, int(len(self.keys)).bit_length() + 1)
+        self.shift = np.uint64(64 - bits)
+        heads = np.arange(2**bits + 1, dtype=np.float64)
+        edges = (self.keys >> self.shift).astype(np.int64)
+        self.starts = np.searchsorted(edges, heads[:-1].astype(np.int64)).astype(np.int32)
+        self.starts = np.append(self.starts, np.int32(len(self.keys)))
+
+    def find(self, wanted: np.ndarray) -> np.ndarray:
+        """Row of each hash, or -1."""
+        head = (wanted >> self.shift).astype(np.int64)
+        at, end = self.starts[head], self.starts[head + 1]
+        found = np.full(len(wanted), -1, np.int32)
+        open_ = np.flatnonzero(at < end)
+        at, end, left = at[open_], end[open_], wanted[open_]
+        while len(open_):
+            hit = self.keys[at] == left
+            found[open_[hit]] = at[hit]
+            more = ~hit & (at + 1 < end)
+            open_, at, end, left = open_[more], at[more] + 1, end[more], left[more]
+        return found
