@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from racecast.llm import byte_bpe, html_text, language_id, multi_index, packing, voronoi, warc
+from racecast.llm import byte_bpe, html_text, jaccard, language_id, multi_index, packing, voronoi, warc
 from racecast.llm.common import Scratch, ship_code, table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,3 +119,9 @@ def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
     path = tokenizer_path("byte_bpe_multi_50k.tiktoken")
     return byte_bpe.digests(table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
+
+
+@query
+def op6_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate class and number of links of every document."""
+    return jaccard.near_duplicates(table(spark, folder, "documents"), Scratch(spark))
