@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import suppress
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from racecast.llm import language_id
-from racecast.llm.common import Scratch, ship_code, table
+from racecast.llm import jaccard, language_id, line_dedup, packing
+from racecast.llm.common import Scratch, ship_code, table, tokenizer_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -22,7 +23,51 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return found.filter("lang_accepted").select(*(F.col(c) for c in columns))
 
 
-STAGES: list[tuple[str, Stage]] = [("language_id", known_language)]
+_open: list[Scratch] = []
+
+
+def _scratch(spark: SparkSession) -> Scratch:
+    """Intermediate tables of one stage.
+
+    A stage's result has been written before the next one begins, so what the stage before left in the
+    shared folder goes then.
+    """
+    while _open:
+        with suppress(Exception):  # a session that has ended
+            _open.pop().close()
+    _open.append(Scratch(spark))
+    return _open[-1]
+
+
+def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without lines that repeat, or nearly repeat, a line of an earlier document or place.
+
+    A document that loses all lines it had goes.
+    """
+    ship_code(spark)
+    found = line_dedup.deduplicated(docs, _scratch(spark))
+    left = F.length(F.trim(F.regexp_replace("text", r"\s+", " "))) > 0
+    return found.filter((F.col("n_removed") == 0) | left).select(*(F.col(c) for c in docs.columns))
+
+
+def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each connected group with five-word Jaccard similarity of 0.8 or more."""
+    ship_code(spark)
+    return jaccard.one_of_each(docs, _scratch(spark))
+
+
+def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents, each with its sequence of 2048 tokens and its place there."""
+    ship_code(spark)
+    return packing.pack(docs, tokenizer_path("byte_bpe_50k.json"), _scratch(spark))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("language_id", known_language),
+    ("line_dedup", without_repeated_lines),
+    ("ngram_jaccard", one_of_near_duplicates),
+    ("best_fit_packing", packed_sequences),
+]
 ORACLE_SQL: str | None = None
 
 

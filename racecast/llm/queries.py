@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from racecast.llm import byte_bpe, html_text, jaccard, language_id, multi_index, packing, voronoi, warc
+from racecast.llm import byte_bpe, html_text, jaccard, language_id, line_dedup, multi_index, packing, voronoi, warc
 from racecast.llm.common import Scratch, ship_code, table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -125,3 +125,10 @@ def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 def op6_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate class and number of links of every document."""
     return jaccard.near_duplicates(table(spark, folder, "documents"), Scratch(spark))
+
+
+@query
+def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the lines that repeat an earlier one, and how many it had and lost."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return line_dedup.deduplicated(docs, Scratch(spark))
