@@ -46,8 +46,7 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """
     ship_code(spark)
     found = line_dedup.deduplicated(docs, _scratch(spark))
-    left = F.length(F.trim(F.regexp_replace("text", r"\s+", " "))) > 0
-    return found.filter((F.col("n_removed") == 0) | left).select(*(F.col(c) for c in docs.columns))
+    return found.filter((F.col("n_removed") == 0) | F.col("text").rlike(r"\S")).select(*(F.col(c) for c in docs.columns))
 
 
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from racecast.llm import byte_bpe, html_text, jaccard, language_id, line_dedup, multi_index, packing, voronoi, warc
+from racecast.llm import byte_bpe, html_text, jaccard, language_id, line_dedup, lm_scoring, multi_index, packing, voronoi, warc
 from racecast.llm.common import Scratch, ship_code, table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -132,3 +132,10 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every document without the lines that repeat an earlier one, and how many it had and lost."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return line_dedup.deduplicated(docs, Scratch(spark))
+
+
+@query
+def op8_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    """Log10 probability of every document by a model learnt from those whose crc32 mod 7 is not 2."""
+    held = language_id.held_out(F.col("doc_id"), 7, 2)
+    return lm_scoring.score(table(spark, folder, "documents"), held, Scratch(spark))
