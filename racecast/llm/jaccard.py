@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from racecast.llm.common import Scratch, slices, string_bytes
+from racecast.llm.common import Scratch, packed, slices, string_bytes, unpack
 from racecast.llm.groups import connected_groups, in_blocks
 from racecast.llm.words import ODD, mix, sequence_keys, shingles, word_hashes
 
@@ -77,7 +77,7 @@ def _sets(words: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = string_bytes(batch.column("text"))
+            data, offsets = string_bytes(pa.array(unpack(batch.column("_packed")), pa.string()))
             nodes = batch.column("node").to_numpy()
             for first, last in slices(offsets):
                 own = data[offsets[first] : offsets[last]]
@@ -86,7 +86,7 @@ def _sets(words: int):
                 grams, n = shingles(hashes, counts, words)
                 parts = np.split(grams, np.cumsum(n)[:-1])
                 same = np.flatnonzero(one.view(np.int64) == nodes[first:last])
-                rows = batch.take(pa.array(same + first)).drop_columns(["text"])
+                rows = batch.take(pa.array(same + first)).drop_columns(["_packed"])
                 sets = [np.unique(parts[k]).tobytes() for k in same]
                 yield rows.append_column("grams", pa.array(sets, pa.binary()))
 
@@ -187,7 +187,9 @@ def near_duplicates(
 
     tasks = max(1, members.count() // (2 * block))
     dealt = in_blocks(members, "node", "root", block, tasks).withColumnRenamed("rep", "doc_id")
-    texts = rows.join(dealt, "doc_id").select("node", "root", "copies", "side", "other", "task", "text")
+    # A hint, so that the plan is the same whatever the number of candidates.
+    texts = packed(rows).join(dealt.hint("merge"), "doc_id")
+    texts = texts.select("node", "root", "copies", "side", "other", "task", "_packed")
     sets = texts.mapInArrow(
         _sets(words), "node long, root long, copies long, side int, other int, task long, grams binary"
     )
