@@ -290,9 +290,10 @@ ORACLES: dict[str, str] = {
                      count(*) FILTER (WHERE o_orderstatus = 'F') AS wins FROM orders GROUP BY 1, 2)
         WINDOW w AS (PARTITION BY o_custkey ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""",
     "q_profile_left_join": f"""
-        SELECT c_custkey AS o_custkey, c_mktsegment, total_wins, total_races, win_rate FROM customer
-        LEFT JOIN ({win_rate('orders', 'o_custkey', 'o_orderkey', "o_orderstatus = 'F'", "o_orderpriority = '1-URGENT'")})
-          ON c_custkey = o_custkey""",
+        SELECT key AS o_custkey, c_mktsegment, total_wins, total_races, win_rate
+        FROM (SELECT CASE WHEN c_custkey % 7 = 0 THEN -c_custkey ELSE c_custkey END AS key, c_mktsegment FROM customer)
+        LEFT JOIN ({win_rate('orders', 'o_custkey', 'o_orderkey', "o_orderstatus = 'F'")})
+          ON key = o_custkey""",
     "q_entry_dates": """
         SELECT CAST(year(o_orderdate) AS INTEGER) AS o_orderdate_year, count(*) AS n, max(l_linenumber) AS top
         FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey GROUP BY 1""",
@@ -344,22 +345,29 @@ ORACLES: dict[str, str] = {
                count(*) FILTER (WHERE o_orderpriority <> '5-LOW' AND o_orderpriority LIKE '%-%') AS n_dash,
                count(*) FILTER (WHERE o_orderpriority <> '5-LOW' AND o_orderpriority LIKE '%/%') AS n_slash,
                count(*) FILTER (WHERE isnan(o_totalprice) OR o_totalprice > 250000) AS n_either
-        FROM orders WHERE o_orderstatus IS NOT NULL""",
+        FROM orders WHERE o_orderstatus <> 'P'""",
     "q_filter_rows": """
         SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 100000""",
     "q_null_profile": f"""
         SELECT 'o_orderkey' AS column_name, count(*) - count(o_orderkey) AS n_null FROM {GAPPY}
+        UNION ALL SELECT 'o_custkey', count(*) - count(o_custkey) FROM orders
+        UNION ALL SELECT 'o_orderdate', count(*) - count(o_orderdate) FROM orders
+        UNION ALL SELECT 'priority', count(*) FILTER (WHERE o_orderpriority IS NULL OR o_orderpriority = '5-LOW') FROM orders
         UNION ALL SELECT 'status', count(*) - count(status) FROM {GAPPY}
         UNION ALL SELECT 'price', count(*) - count(price) FROM {GAPPY}""",
     "q_null_rows": f"SELECT o_orderkey, status FROM {GAPPY} WHERE status IS NULL",
     "q_cardinality": " UNION ALL ".join(
         distinct(c)
         for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount", "l_tax",
-                  "l_returnflag", "l_linestatus", "l_shipdate")
+                  "l_returnflag", "l_linestatus", "l_shipdate", "l_extendedprice")
     ),
     "q_describe": " UNION ALL ".join(
         described(c, numeric)
-        for c, numeric in (("l_orderkey", True), ("l_quantity", True), ("l_returnflag", False), ("l_linestatus", False))
+        for c, numeric in (
+            *((c, True) for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                                  "l_discount", "l_tax")),
+            *((c, False) for c in ("l_returnflag", "l_linestatus", "l_shipdate")),
+        )
     ),
     "q_impute_zero_mean": """
         SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber > 1 THEN l_linenumber ELSE 0 END AS rank,
@@ -466,3 +474,5 @@ ORACLES: dict[str, str] = {
     "q_race_efficiency_by_wins": RACE + mean_by("base", "totalWins", "pitStop_efficiency"),
     "q_race_change_by_stop_duration": RACE + mean_by("base", "avg_pitStop_duration", "position_change_index"),
 }
+for _name in ("q_position_change", "q_experience", "q_win_rate_as_of"):
+    ORACLES[f"{_name}_cut"] = ORACLES[_name]

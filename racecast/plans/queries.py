@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from racecast import functions as R
 from racecast.models import metrics, training
+from racecast.operators.ordered import Split
 from racecast.operators import dataset, explore, features, quality
 from racecast.plans import race, stand_in
 from racecast.sources import preview
@@ -60,9 +61,10 @@ def q_win_rate_as_of(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def q_profile_left_join(spark: SparkSession, folder: str) -> DataFrame:
-    customers = read(spark, folder, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
-    high = read(spark, folder, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
-    wins = features.win_rate(high, "o_custkey", "o_orderkey", _finished())
+    # Every seventh customer gets a key that no order has.
+    key = F.when(F.col("c_custkey") % 7 == 0, -F.col("c_custkey")).otherwise(F.col("c_custkey"))
+    customers = read(spark, folder, "customer").select(key.alias("o_custkey"), "c_mktsegment")
+    wins = features.win_rate(read(spark, folder, "orders"), "o_custkey", "o_orderkey", _finished())
     return features.driver_profile(customers, wins, "o_custkey")
 
 
@@ -127,6 +129,29 @@ def q_position_change(spark: SparkSession, folder: str) -> DataFrame:
     return changed.select("event_id", "user_id", "position", "position_change")
 
 
+# Small segments, so that the form with cut keys runs on tables of any size.
+CUT = Split(sample_rows=4_000, cut_every=8, min_rows=1)
+
+
+@query
+def q_position_change_cut(spark: SparkSession, folder: str) -> DataFrame:
+    events = _event_positions(spark, folder)
+    changed = features.position_change(events, ["user_id"], ["ts", "event_id"], "position", split=CUT)
+    return changed.select("event_id", "user_id", "position", "position_change")
+
+
+@query
+def q_experience_cut(spark: SparkSession, folder: str) -> DataFrame:
+    orders = read(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    return features.experience(orders, "o_custkey", "o_orderkey", split=CUT)
+
+
+@query
+def q_win_rate_as_of_cut(spark: SparkSession, folder: str) -> DataFrame:
+    orders = read(spark, folder, "orders").withColumn("day", F.to_date("o_orderdate").cast("string"))
+    return features.win_rate_as_of(orders, "o_custkey", "day", _finished(), split=CUT)
+
+
 @query
 def q_position_summary_index(spark: SparkSession, folder: str) -> DataFrame:
     events = _event_positions(spark, folder)
@@ -241,7 +266,8 @@ def q_filters(spark: SparkSession, folder: str) -> DataFrame:
         "n_slash": F.col("priority").contains("/"),
         "n_either": F.isnan("o_totalprice") | (F.col("o_totalprice") > 250_000),
     }
-    known = orders.na.drop(subset=["o_orderstatus"])
+    orders = orders.withColumn("status", F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")))
+    known = orders.na.drop(subset=["status"])
     return known.agg(*(F.count(F.when(test, 1)).alias(name) for name, test in tests.items()))
 
 
@@ -258,6 +284,9 @@ def _gappy_orders(spark: SparkSession, folder: str) -> DataFrame:
     price = F.col("o_totalprice")
     return read(spark, folder, "orders").select(
         "o_orderkey",
+        "o_custkey",
+        "o_orderdate",
+        F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).alias("priority"),
         F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("status"),
         F.when(price < 200_000, price).when(price < 300_000, F.lit(float("nan"))).alias("price"),
     )
@@ -275,13 +304,12 @@ def q_null_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def q_cardinality(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.cardinality(read(spark, folder, "lineitem").drop("l_extendedprice"))
+    return quality.cardinality(read(spark, folder, "lineitem"))
 
 
 @query
 def q_describe(spark: SparkSession, folder: str) -> DataFrame:
-    lines = read(spark, folder, "lineitem").select("l_orderkey", "l_quantity", "l_returnflag", "l_linestatus")
-    return rounded(quality.describe(lines), 4, "mean", "stddev")
+    return rounded(quality.describe(read(spark, folder, "lineitem")), 4, "mean", "stddev")
 
 
 @query

@@ -118,11 +118,11 @@ def driver_features(drivers: DataFrame, results: DataFrame) -> DataFrame:
     return driver_profile(ages, wins, "driverId").withColumnsRenamed(WIN_NAMES)
 
 
-def lap_features(laps: DataFrame, direct: bool = True, order: Sequence[str] = LAP_ORDER) -> DataFrame:
+def lap_features(laps: DataFrame, direct: bool = False, order: Sequence[str] = LAP_ORDER) -> DataFrame:
     """raceId, driverId, avg_position_change, max_position, position_change_index.
 
-    ``order`` must be unique within an entry. ``direct`` needs no sort; use the other form if a
-    position may be NULL.
+    ``order`` must be unique within an entry. ``direct`` needs no sort, but stops at a position that
+    is NULL.
     """
     if direct:
         summary = position_summary_direct(laps, ENTRY, order, "position")

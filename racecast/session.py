@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark import StorageLevel
@@ -30,15 +29,8 @@ def build_session(app: str = "racecast", shuffle_partitions: int = 8_000, **conf
 
 
 def shared_folder(spark: SparkSession) -> str | None:
-    """The folder all nodes share, from ``spark.checkpoint.dir``.
-
-    Where it is unset, a local session takes a folder of its own; a cluster has none.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None and spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="racecast-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    """The folder all nodes share, from ``spark.checkpoint.dir``; None where it is unset, on any master."""
+    return spark.conf.get("spark.checkpoint.dir", None)
 
 
 def materialise(df: DataFrame) -> DataFrame:
