@@ -13,7 +13,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -168,15 +167,18 @@ def _distinct(keys: np.ndarray, language: np.ndarray, weight: np.ndarray) -> tup
     return order[starts], np.add.reduceat(weight[order], starts), np.diff(np.append(starts, len(k)))
 
 
-def build(counts: pd.DataFrame) -> Model:
+def build(counts: pa.Table) -> Model:
     """Kneser-Ney models from the counts (lang, gram, n) of runs of ORDER characters."""
-    languages = sorted(counts["lang"].unique())
+    names = counts.column("lang").combine_chunks().dictionary_encode()
+    languages = sorted(names.dictionary.to_pylist())
     if not languages:
         return Model([], {}, {})
-    text = "".join(counts["gram"]).encode("utf-32-le", "surrogatepass")
-    grams = np.frombuffer(text, "<u4").reshape(-1, ORDER).astype(np.uint64)
-    language = counts["lang"].map({x: i for i, x in enumerate(languages)}).to_numpy()
-    weight = counts["n"].to_numpy().astype(np.float64)
+    place = np.array([languages.index(x) for x in names.dictionary.to_pylist()])
+    language = place[names.indices.to_numpy()]
+    text = b"".join(c.cast(pa.large_string()).buffers()[2] for c in [counts.column("gram").combine_chunks()])
+    grams = np.frombuffer(text.decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), "<u4")
+    grams = grams.reshape(-1, ORDER).astype(np.uint64)
+    weight = counts.column("n").to_numpy().astype(np.float64)
 
     levels = {}
     for k in range(ORDER, 0, -1):
@@ -274,8 +276,8 @@ def fit(
     train = chosen.filter(F.col("_at") < share[F.col("lang")]).select("lang", "text")
     held = chosen.filter((F.col("_at") < more[F.col("lang")]) & (F.col("_at") >= share[F.col("lang")]))
     grams = train.mapInArrow(_counts, "lang string, gram string, n long")
-    counts = grams.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
-    model = build(counts)
+    # As Arrow: the driver holds columns, not an object for each row.
+    model = build(grams.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow())
     check = held.select("lang", "text").collect() or train.limit(calibration).collect()
     return calibrate(model, [r["text"] for r in check], [r["lang"] for r in check], slack)
 
