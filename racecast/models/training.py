@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.ml import Model, Pipeline, PipelineModel
+from pyspark.ml import Model, PipelineModel, Transformer
 from pyspark.ml.base import Estimator
 from pyspark.ml.classification import DecisionTreeClassifier, LinearSVC, LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import RFormula, StringIndexer
+from pyspark.ml.feature import RFormula
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
@@ -18,10 +18,13 @@ from pyspark.sql import types as T
 
 from racecast.models.metrics import auc, class_metrics, confusion
 from racecast.operators.dataset import split_share
+from racecast.operators.ordered import running_total
+from racecast.operators.quality import missing
 from racecast.session import materialise
 
 FEATURES, LABEL = "features", "label"
-MAX_CATEGORIES = 10_000
+# Values that a tree's bins hold by default, and up to which a table of values is broadcast.
+TREE_CATEGORIES, BROADCAST_VALUES = 32, 100_000
 
 # Settings of the linear SVM and the grid of the cross-validation.
 SVM_SETTINGS = {"maxIter": 10, "regParam": 0.1}
@@ -38,31 +41,59 @@ def default_classifiers() -> dict[str, Estimator]:
     }
 
 
-def fit_categories(
-    train: DataFrame, categories: Sequence[str], suffix: str = "_index", limit: int = MAX_CATEGORIES
-) -> PipelineModel:
-    """Index text categories, in one pass: the most frequent is 0, ties in alphabetical order.
+class CategoryIndex(Transformer):
+    """Text categories as numbers, by a join with each column's table of (value, index).
 
-    Indexing brings each column's labels to the driver, so a column with far more than ``limit``
-    of them is refused. Categories first seen later get an index of their own.
+    The most frequent value is 0, ties in alphabetical order; NULL and values first seen later share the
+    index after the last. The tables stay distributed, however many values a column has.
+    """
+
+    def __init__(self, ranks: dict[str, DataFrame], sizes: dict[str, int], suffix: str):
+        super().__init__()
+        self.ranks, self.sizes, self.suffix = ranks, sizes, suffix
+
+    def _transform(self, rows: DataFrame) -> DataFrame:
+        for c, ranks in self.ranks.items():
+            size, name = self.sizes[c] + 1, c + self.suffix
+            near = F.broadcast(ranks) if size <= BROADCAST_VALUES else ranks
+            joined = rows.join(near, F.col(c) == F.col("_value"), "left")
+            index = F.coalesce("_index", F.lit(size - 1)).cast("double")
+            kind = {"type": "nominal", "num_vals": size} if size <= TREE_CATEGORIES else {"type": "numeric"}
+            rows = joined.withColumn(name, index.alias(name, metadata={"ml_attr": {"name": name, **kind}}))
+            rows = rows.drop("_value", "_index")
+        return rows
+
+
+def category_ranks(train: DataFrame, category: str) -> DataFrame:
+    """(_value, _index) of the known values of a column: counted, then numbered along (count, value)."""
+    counts = materialise(
+        train.filter(F.col(category).isNotNull())
+        .groupBy(F.col(category).alias("_value"))
+        .agg((-F.count(F.lit(1))).alias("_less"))
+    )
+    placed = running_total(counts, [], ["_less", "_value"], {"k": F.lit(1)}, counted=True)
+    return materialise(placed.select("_value", (F.col("cum_k") - 1).alias("_index")))
+
+
+def fit_categories(train: DataFrame, categories: Sequence[str], suffix: str = "_index") -> PipelineModel:
+    """Index text categories by their counts in the rows that have all of them; see ``CategoryIndex``.
+
+    Up to a tree's number of bins the index is marked as nominal, so that trees try sets of values; beyond
+    it is a number to them.
     """
-    if categories:
-        sizes = train.agg(*(F.approx_count_distinct(c).alias(c) for c in categories)).first()
-        wide = [c for c in categories if sizes[c] > limit]
-        if wide:
-            raise ValueError(f"too many distinct values to index as categories: {wide}")
     if not categories:
         return PipelineModel(stages=[])
-    names = list(categories)
-    indexer = StringIndexer(inputCols=names, outputCols=[c + suffix for c in names], handleInvalid="keep")
-    return Pipeline(stages=[indexer]).fit(train.na.drop("any", subset=names))
+    known = train.na.drop("any", subset=list(categories))
+    ranks = {c: category_ranks(known, c) for c in categories}
+    return PipelineModel(stages=[CategoryIndex(ranks, {c: r.count() for c, r in ranks.items()}, suffix)])
 
 
 def fit_features(train: DataFrame, label: str, features: Sequence[str]) -> Model:
     """Assemble ``features`` and ``label`` columns; text features are one-hot encoded.
 
-    Fitted on training rows only. A text value first seen later has its own place in the vector; a
-    NULL number is an error, so impute first.
+    Fitted on training rows only. A text value first seen later has its own place in the vector. Rows with
+    a NULL number stop the job, so impute first. A text feature has a coefficient for each of its values,
+    which a model holds as a whole: index columns with very many values by ``fit_categories`` instead.
     """
     texts = any(isinstance(train.schema[c].dataType, T.StringType) for c in features)
     formula = f"{label} ~ {' + '.join(features)}"
@@ -174,16 +205,26 @@ def feature_importance(model: PipelineModel, rows: DataFrame) -> DataFrame:
     return table.orderBy(F.desc("importance"), "feature")
 
 
-def predict_event(model: PipelineModel, entries: DataFrame, keys: Sequence[str]) -> DataFrame:
+def predict_event(
+    model: PipelineModel, entries: DataFrame, keys: Sequence[str], features: Sequence[str] = ()
+) -> DataFrame:
     """(keys, finish_probability, prediction) per entry of an upcoming event.
 
-    Needs a model that gives probabilities, which a linear SVM does not.
+    Needs a model that gives probabilities, which a linear SVM does not. Entries with a NULL or NaN among
+    the numbers in ``features`` have a NULL probability and prediction.
     """
-    scored = model.transform(entries)
+    numbers = [c for c in features if not isinstance(entries.schema[c].dataType, T.StringType)]
+    open_ = reduce(lambda a, b: a | b, (missing(entries, c) for c in numbers), F.lit(False))
+    # A number in place of the gap, so that the model can be applied to every row.
+    ready = entries.withColumn("_open", open_).na.fill(0, numbers)
+    scored = model.transform(ready)
     if "probability" not in scored.columns:
         raise ValueError("the model gives no probabilities; use logistic regression or a tree")
     chance = F.get(vector_to_array(F.col("probability")), 1)
-    return scored.select(*keys, chance.alias("finish_probability"), "prediction")
+    known = ~F.col("_open")
+    return scored.select(
+        *keys, F.when(known, chance).alias("finish_probability"), F.when(known, F.col("prediction")).alias("prediction")
+    )
 
 
 def cross_validate(
@@ -194,6 +235,7 @@ def cross_validate(
     elastic_net_params: Sequence[float] = ELASTIC_NET_PARAMS,
     seed: int = 123,
     parallelism: int = 4,
+    portable: bool = False,
 ) -> tuple[Model, DataFrame]:
     """Grid search of a logistic model by mean AUC over folds made by key hash.
 
@@ -201,7 +243,7 @@ def cross_validate(
     (reg_param, elastic_net_param, mean_auc), best first.
     """
     # Not the hash of the train/test split, which the training rows' keys do not cover evenly.
-    fold = F.floor(split_share(keys, f"fold {seed}") * folds).cast("int")
+    fold = F.floor(split_share(keys, f"fold {seed}", portable) * folds).cast("int")
     ready = materialise(train.select(FEATURES, LABEL, fold.alias("fold")))
     estimator = LogisticRegression()
     grid = (

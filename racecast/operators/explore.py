@@ -135,6 +135,7 @@ def density_grid(df: DataFrame, value: str, points: int = 200, bandwidth: float
     return sums.select(at.alias("x"), (F.col("s") / (n * h * math.sqrt(2 * math.pi))).alias("density"))
 
 
+BROADCAST_GROUPS = 100_000
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
 
@@ -195,11 +196,13 @@ def box_stats(
     else:
         counts = _value_counts_of(df, group, value)
         box = quartiles(df, group, value, exact=False)
-    box = box.withColumnRenamed(group, "_g")
+    # One row per group: kept and counted, so that it is the broadcast side while that is small.
+    box = materialise(box.withColumnRenamed(group, "_g"))
+    near = F.broadcast(box) if box.count() <= BROADCAST_GROUPS else box
     reach = F.lit(WHISKER_REACH) * (F.col("q3") - F.col("q1"))
     inside = F.col("v").between(F.col("q1") - reach, F.col("q3") + reach)
     return (
-        counts.join(box, F.col(group).eqNullSafe(F.col("_g")))
+        counts.join(near, F.col(group).eqNullSafe(F.col("_g")))
         .groupBy(group, *(c for c in box.columns if c != "_g"))
         .agg(
             F.min(F.when(inside, F.col("v"))).alias("whisker_low"),

@@ -14,7 +14,6 @@ from racecast.functions import as_column, flag, frequency_label, parse_mixed_dat
 from racecast.operators.ordered import (
     DEFAULT_SPLIT,
     Split,
-    all_of,
     previous_value,
     running_count,
     running_total,
@@ -157,24 +156,10 @@ def labelled_stops(stops: DataFrame, threshold: float = 2, out: str = "stop_freq
 
 
 def experience(
-    df: DataFrame,
-    key: str,
-    event: str,
-    out: str = "experience",
-    many_ties: bool = False,
-    split: Split = DEFAULT_SPLIT,
+    df: DataFrame, key: str, event: str, out: str = "experience", split: Split = DEFAULT_SPLIT
 ) -> DataFrame:
-    """Running count of a key's rows by event, rows of the same event counted together.
-
-    ``many_ties`` is for tables where one (key, event) pair may hold very many rows: they are
-    counted before the sort and the count is joined back.
-    """
-    if not many_ties:
-        return running_count(df, [key], event, out, split)
-    counts = running_total(df, [key], [event], {"n": F.when(F.col(event).isNotNull(), 1).otherwise(0)}, split)
-    back = counts.select(F.col(key).alias("_k"), F.col(event).alias("_e"), F.col("cum_n").alias(out))
-    same = all_of([F.col(key).eqNullSafe(F.col("_k")), F.col(event).eqNullSafe(F.col("_e"))])
-    return df.join(back, same, "left").drop("_k", "_e")
+    """Running count of a key's rows by event, rows of the same event counted together."""
+    return running_count(df, [key], event, out, split)
 
 
 def group_success(df: DataFrame, key: str, rank: str, k: int = 3, out: str = "group_success") -> DataFrame:

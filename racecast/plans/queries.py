@@ -110,7 +110,7 @@ def q_experience_many_ties(spark: SparkSession, folder: str) -> DataFrame:
     events = read(spark, folder, "events").select(
         "event_id", "event_type", F.to_date("ts").cast("string").alias("day")
     )
-    return features.experience(events, "event_type", "day", many_ties=True)
+    return features.experience(events, "event_type", "day")
 
 
 # --- laps and stops --------------------------------------------------------------------------
@@ -130,7 +130,7 @@ def q_position_change(spark: SparkSession, folder: str) -> DataFrame:
 
 
 # Small segments, so that the form with cut keys runs on tables of any size.
-CUT = Split(sample_rows=4_000, cut_every=8, min_rows=1)
+CUT = Split(rows_per_segment=8, sampled=4)
 
 
 @query

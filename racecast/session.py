@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from functools import partial
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -33,17 +36,43 @@ def shared_folder(spark: SparkSession) -> str | None:
     return spark.conf.get("spark.checkpoint.dir", None)
 
 
+_scopes: list[list[Callable[[], object]]] = []
+
+
+@contextmanager
+def intermediates() -> Iterator[None]:
+    """Drop at the end what ``materialise`` kept inside: results must have been written or fetched by then."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for drop in _scopes.pop():
+            drop()
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Compute ``df`` once for several readers.
 
     Written as a table to the shared folder, so a lost executor costs one re-read and each reader
     scans only its columns. Without such a folder the rows are kept by ``persist``, with the plan as
-    the way back. Tables of one application share a subfolder, to be deleted after use.
+    the way back. Inside ``intermediates`` it is dropped at the end of that block; otherwise it is left
+    to the owner of the folder or session.
     """
     spark = df.sparkSession
     folder = shared_folder(spark)
     if folder is None:
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
-    path = f"{folder.rstrip('/')}/racecast-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+        kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+        drop = kept.unpersist
+    else:
+        path = f"{folder.rstrip('/')}/racecast-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        kept = spark.read.schema(df.schema).parquet(path)
+        drop = partial(_delete, spark, path)
+    if _scopes:
+        _scopes[-1].append(drop)
+    return kept

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from racecast.operators import dataset, explore, quality
 from racecast.operators.ordered import DEFAULT_SPLIT, Split
 
-SPLITS = [DEFAULT_SPLIT, Split(sample_rows=150, cut_every=4, min_rows=40)]
+SPLITS = [DEFAULT_SPLIT, Split(rows_per_segment=20, sampled=4)]
 
 
 @pytest.fixture(scope="module")

@@ -32,7 +32,7 @@ def brute_auc(rows):
     return sum((p > n) + (p == n) / 2 for p in pos for n in neg) / (len(pos) * len(neg))
 
 
-@pytest.mark.parametrize("split", [DEFAULT_SPLIT, Split(sample_rows=60, cut_every=3, min_rows=20)])
+@pytest.mark.parametrize("split", [DEFAULT_SPLIT, Split(rows_per_segment=9, sampled=3)])
 def test_auc(scored, split):
     rows = scored.collect()
     assert metrics.auc(scored, split=split).first().auc == pytest.approx(brute_auc(rows))
@@ -66,8 +66,15 @@ def test_index_rule(spark):
     df = spark.createDataFrame([("y",), ("y",), ("x",), ("a",), (None,)], "c string").na.drop("any")
     got = training.fit_categories(df, ["c"]).transform(df).distinct().collect()
     assert {r.c: r.c_index for r in got} == {"y": 0.0, "a": 1.0, "x": 2.0}
-    with pytest.raises(ValueError, match="too many"):
-        training.fit_categories(df, ["c"], limit=2)
+    later = spark.createDataFrame([("new",), (None,), ("x",)], "c string")
+    got = training.fit_categories(df, ["c"]).transform(later).collect()
+    assert {r.c: r.c_index for r in got} == {"new": 3.0, None: 3.0, "x": 2.0}
+
+
+def test_index_of_very_many_values(spark):
+    df = spark.range(30_000).select(F.concat(F.lit("v"), F.floor(F.col("id") * 2 / 3).cast("string")).alias("c"))
+    got = training.fit_categories(df, ["c"]).transform(df)
+    assert got.agg(F.countDistinct("c_index"), F.min("c_index"), F.max("c_index")).first() == (20_000, 0, 19_999)
 
 
 @pytest.fixture(scope="module")
