@@ -474,5 +474,83 @@ ORACLES: dict[str, str] = {
     "q_race_efficiency_by_wins": RACE + mean_by("base", "totalWins", "pitStop_efficiency"),
     "q_race_change_by_stop_duration": RACE + mean_by("base", "avg_pitStop_duration", "position_change_index"),
 }
-for _name in ("q_position_change", "q_experience", "q_win_rate_as_of"):
+
+LABELLED = """
+    (SELECT *, CASE WHEN o_orderkey % 11 < 2 * level THEN 1 ELSE 0 END AS label, CASE WHEN level > 2 THEN 1 ELSE 0 END AS high
+     FROM (SELECT o_orderkey, o_orderpriority AS priority, CAST(left(o_orderpriority, 1) AS INTEGER) AS level FROM orders))"""
+
+
+def share_of(seed: str) -> str:
+    return f"CAST('0x' || substr(md5('{seed}|' || o_orderkey), 1, 8) AS BIGINT) / 4294967296"
+
+
+def rank_auc(table: str, score: str, by: str) -> str:
+    """The area under the curve per group, not rounded."""
+    pos, neg = "count(*) FILTER (WHERE label = 1)", "count(*) FILTER (WHERE label = 0)"
+    return f"""SELECT {by}, (sum(r) FILTER (WHERE label = 1) - {pos} * ({pos} + 1) / 2) / ({pos}::DOUBLE * {neg}) AS auc
+        FROM (SELECT *, rank() OVER (PARTITION BY {by} ORDER BY {score})
+                        + (count(*) OVER (PARTITION BY {by}, {score}) - 1) / 2 AS r FROM {table}) GROUP BY {by}"""
+
+
+GROUP_REPORT = f"""
+    WITH o AS (SELECT *, CASE WHEN {share_of('123')} < 0.7 THEN 'train' ELSE 'test' END AS split FROM {LABELLED}),
+    means AS (SELECT priority, avg(label) AS mean FROM o WHERE split = 'train' GROUP BY priority),
+    s AS (SELECT *, CASE WHEN mean > 0.5 THEN 1 ELSE 0 END AS guess FROM o JOIN means USING (priority)),
+    k AS (SELECT split, cls, count(*) FILTER (WHERE label = cls)::DOUBLE AS support,
+                 count(*) FILTER (WHERE guess = cls)::DOUBLE AS predicted,
+                 count(*) FILTER (WHERE label = cls AND guess = cls)::DOUBLE AS hits
+          FROM s, (VALUES (0), (1)) c(cls) GROUP BY split, cls),
+    r AS (SELECT split, support, hits, coalesce(hits / nullif(predicted, 0), 0) AS prec,
+                 coalesce(hits / nullif(support, 0), 0) AS rec FROM k),
+    m AS (SELECT split, CAST(sum(support) AS BIGINT) AS n, round(sum(hits) / sum(support), 6) AS accuracy,
+                 round(sum(support * coalesce(2 * prec * rec / nullif(prec + rec, 0), 0)) / sum(support), 6) AS f1,
+                 round(sum(support * prec) / sum(support), 6) AS weighted_precision,
+                 round(sum(support * rec) / sum(support), 6) AS weighted_recall FROM r GROUP BY split)"""
+
+ORACLES |= {
+    "q_string_index_many": """
+        SELECT part, CAST(row_number() OVER (ORDER BY n DESC, part) - 1 AS DOUBLE) AS part_index, n
+        FROM (SELECT CAST(l_partkey AS VARCHAR) AS part, count(*) AS n FROM lineitem GROUP BY 1)""",
+    "q_encoded_features": f"""
+        SELECT o_orderkey, 'priority_' || priority AS feature, 1.0::DOUBLE AS value FROM {LABELLED}
+        UNION ALL SELECT o_orderkey, 'level', CAST(level AS DOUBLE) FROM {LABELLED}""",
+    "q_logistic_means": f"""
+        SELECT priority, round(mean, 3) + 0.0 AS finish_probability, CASE WHEN mean > 0.5 THEN 1.0 ELSE 0.0 END::DOUBLE AS prediction, n
+        FROM (SELECT priority, avg(label) AS mean, count(*) AS n FROM {LABELLED} GROUP BY 1)""",
+    "q_log_odds": f"""
+        SELECT 'high' AS feature, round(max(ln(p / (1 - p))) FILTER (WHERE high = 1)
+                                        - max(ln(p / (1 - p))) FILTER (WHERE high = 0), 3) + 0.0 AS importance
+        FROM (SELECT high, avg(label) AS p FROM {LABELLED} GROUP BY high)""",
+    "q_tree_majority": f"""
+        SELECT priority, CASE WHEN avg(label) > 0.5 THEN 1.0 ELSE 0.0 END::DOUBLE AS prediction, count(*) AS n
+        FROM {LABELLED} GROUP BY 1""",
+    "q_svm_apart": f"SELECT o_orderkey, CAST(label AS DOUBLE) AS prediction FROM {LABELLED}",
+    "q_group_report": GROUP_REPORT + f"""
+        SELECT 'lr' AS model, m.*, round(auc, 6) AS auc FROM m JOIN ({rank_auc('s', 'mean', 'split')}) USING (split)""",
+    "q_group_best": GROUP_REPORT + "SELECT 'lr' AS model, split, n, accuracy FROM m WHERE split = 'test'",
+    "q_fold_auc": f"""
+        WITH f AS (SELECT *, CAST(floor({share_of('fold 123')} * 5) AS INTEGER) AS fold FROM {LABELLED})
+        SELECT reg_param, 0.0::DOUBLE AS elastic_net_param, round(avg(auc), 6) + 0.0 AS mean_auc
+        FROM ({rank_auc('f', 'level', 'fold')}), (VALUES (0.01::DOUBLE), (0.1::DOUBLE)) g(reg_param) GROUP BY reg_param""",
+    "q_race_circuits": "SELECT r_name AS circuit_name FROM region",
+    "q_race_constructor_results": "SELECT CAST(o_orderkey % 44 AS DOUBLE) AS points, count(*) AS n FROM orders GROUP BY 1",
+    "q_race_pre_race": RACE + f""",
+        d AS (SELECT driverId, raceId, count(*) OVER w AS races,
+                     coalesce(sum(won) OVER w, 0) AS wins FROM (
+                SELECT driverId, raceId, count(*) FILTER (WHERE positionOrder = 1) AS won FROM raw_results GROUP BY 1, 2)
+              WINDOW w AS (PARTITION BY driverId ORDER BY raceId ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+        c AS (SELECT constructorId, raceId, count(*) OVER w AS races,
+                     coalesce(sum(won) OVER w, 0) AS wins FROM (
+                SELECT constructorId, raceId, count(*) FILTER (WHERE positionOrder <= 3) AS won FROM raw_results GROUP BY 1, 2)
+              WINDOW w AS (PARTITION BY constructorId ORDER BY raceId ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+        SELECT r.raceId, r.driverId, r.constructorId, CASE WHEN status = 'Finished' THEN 1 ELSE 0 END AS finished,
+               d.races AS driver_experience, coalesce(round(d.wins / nullif(d.races, 0), 3), 0) AS driver_win_rate,
+               c.races AS constructor_experience, coalesce(round(c.wins / nullif(c.races, 0), 3), 0) AS constructor_success_rate,
+               age, season_name, time_of_day
+        FROM raw_results r JOIN races USING (raceId) LEFT JOIN status USING (statusId)
+        JOIN d ON d.driverId = r.driverId AND d.raceId = r.raceId
+        JOIN c ON c.constructorId = r.constructorId AND c.raceId = r.raceId
+        LEFT JOIN drivers ON drivers.driverId = r.driverId""",
+}
+for _name in ("q_position_change", "q_experience", "q_win_rate_as_of", "q_box_stats", "q_auc_by_key"):
     ORACLES[f"{_name}_cut"] = ORACLES[_name]

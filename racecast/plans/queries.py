@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -131,6 +132,7 @@ def q_position_change(spark: SparkSession, folder: str) -> DataFrame:
 
 # Small segments, so that the form with cut keys runs on tables of any size.
 CUT = Split(rows_per_segment=8, sampled=4)
+CUT_VALUES = Split(rows_per_segment=1_000, sampled=16)
 
 
 @query
@@ -666,3 +668,165 @@ def _race_topic(topic: str) -> Query:
 
 
 QUERIES.update({f"q_race_{topic}": _race_topic(topic) for topic in RACE_TOPICS})
+
+
+@query
+def q_race_joined_columns(spark: SparkSession, folder: str) -> DataFrame:
+    return race.explore(_race(spark, folder), "joined_columns")
+
+
+@query
+def q_race_circuits(spark: SparkSession, folder: str) -> DataFrame:
+    return race.clean_circuits(stand_in.race_tables(spark, folder)["circuits"])
+
+
+@query
+def q_race_constructor_results(spark: SparkSession, folder: str) -> DataFrame:
+    points = race.clean_constructor_results(stand_in.race_tables(spark, folder)["constructorResults"])
+    return explore.value_counts(points, "points")
+
+
+@query
+def q_race_pre_race(spark: SparkSession, folder: str) -> DataFrame:
+    rows = race.pre_race_table(stand_in.race_tables(spark, folder)).drop("entered")
+    return rows.withColumns({c: F.round(c, 3) for c in ("driver_win_rate", "constructor_success_rate")})
+
+
+@query
+def q_race_predict(spark: SparkSession, folder: str) -> DataFrame:
+    """Every driver of the last race again as an entry of a race that has not been run."""
+    tables = stand_in.race_tables(spark, folder)
+    last = tables["races"].agg(F.max("raceId"))
+    field = tables["results"].filter(F.col("raceId") == last.scalar()).select("raceId", "driverId", "constructorId")
+    known = {**tables, "results": tables["results"].filter(F.col("raceId") != last.scalar())}
+    return race.predict_race(known, field.dropDuplicates(race.ENTRY))
+
+
+@query
+def q_race_importance(spark: SparkSession, folder: str) -> DataFrame:
+    base = race.training_table(_race_base(spark, folder)).na.drop("any", subset=list(race.CATEGORIES))
+    rows = quality.impute(base, mean=["age"])
+    models = training.fit_models(
+        rows, "status", race.FEATURES + race.CATEGORIES, race.CATEGORIES,
+        {"logistic_regression": LogisticRegression()},
+    )
+    return training.feature_importance(models["logistic_regression"], rows)
+
+
+# --- models whose results are known exactly ---------------------------------------------------
+
+def _sure() -> LogisticRegression:
+    return LogisticRegression(maxIter=300, tol=1e-10)
+
+
+
+def _labelled_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """A label whose share differs by priority, and columns derived from both."""
+    level = F.substring("o_orderpriority", 1, 1).cast("int")
+    label = R.flag(F.col("o_orderkey") % 11 < 2 * level)
+    return read(spark, folder, "orders").select(
+        "o_orderkey",
+        F.col("o_orderpriority").alias("priority"),
+        level.alias("level"),
+        label.alias("label"),
+        R.flag(level > 2).alias("high"),
+        (F.col("o_totalprice") + F.when(label == 1, 1_000_000).otherwise(-1_000_000)).alias("apart"),
+    )
+
+
+@query
+def q_string_index_many(spark: SparkSession, folder: str) -> DataFrame:
+    lines = read(spark, folder, "lineitem").select(F.col("l_partkey").cast("string").alias("part"))
+    indexed = training.fit_categories(lines, ["part"]).transform(lines)
+    return explore.value_counts(indexed, ["part", "part_index"])
+
+
+@query
+def q_encoded_features(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _labelled_orders(spark, folder)
+    encoded = training.fit_features(rows, "label", ["level", "priority"]).transform(rows)
+    names = F.array(*(F.lit(n) for n in training.feature_names(encoded)))
+    entries = F.arrays_zip(names.alias("feature"), vector_to_array("features").alias("value"))
+    return encoded.select("o_orderkey", F.inline(entries).alias("feature", "value")).filter("value <> 0")
+
+
+@query
+def q_logistic_means(spark: SparkSession, folder: str) -> DataFrame:
+    """Without regularisation the probability of a group is its share of label 1."""
+    rows = _labelled_orders(spark, folder)
+    models = training.fit_models(rows, "label", ["priority"], estimators={"lr": _sure()})
+    chances = training.predict_event(models["lr"], rows, ["priority"])
+    return explore.value_counts(rounded(chances, 3, "finish_probability"), chances.columns)
+
+
+@query
+def q_log_odds(spark: SparkSession, folder: str) -> DataFrame:
+    """The coefficient of a feature of 0 and 1 is the logarithm of the odds ratio."""
+    rows = _labelled_orders(spark, folder)
+    models = training.fit_models(rows, "label", ["high"], estimators={"lr": _sure()})
+    return rounded(training.feature_importance(models["lr"], rows), 3, "importance")
+
+
+@query
+def q_tree_majority(spark: SparkSession, folder: str) -> DataFrame:
+    """A tree that can part all groups predicts each group's majority."""
+    rows = _labelled_orders(spark, folder)
+    models = training.fit_models(rows, "label", ["priority"], ["priority"], {"tree": DecisionTreeClassifier()})
+    return explore.value_counts(models["tree"].transform(rows), ["priority", "prediction"])
+
+
+@query
+def q_svm_apart(spark: SparkSession, folder: str) -> DataFrame:
+    """Classes far apart are told apart by the linear SVM."""
+    rows = _labelled_orders(spark, folder)
+    svm = {"linear_svm": training.default_classifiers()["linear_svm"]}
+    models = training.fit_models(rows, "label", ["apart"], estimators=svm)
+    return models["linear_svm"].transform(rows).select("o_orderkey", "prediction")
+
+
+def _group_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Models that know the group only, trained on a split that other engines can make too."""
+    train, test = dataset.split_by_hash(_labelled_orders(spark, folder), ["o_orderkey"], portable=True)
+    both = {"lr": _sure(), "tree": DecisionTreeClassifier()}
+    models = training.fit_models(train, "label", ["priority"], estimators=both)
+    return training.compare_models(models, train, test, score="probability")
+
+
+REPORTED = ("auc", "accuracy", "f1", "weighted_precision", "weighted_recall")
+
+
+@query
+def q_group_report(spark: SparkSession, folder: str) -> DataFrame:
+    report = _group_report(spark, folder).filter("model = 'lr'")
+    return rounded(report, 6, *REPORTED)
+
+
+@query
+def q_group_best(spark: SparkSession, folder: str) -> DataFrame:
+    report = training.best_model(_group_report(spark, folder), "accuracy")
+    return rounded(report.select("model", "split", "n", "accuracy"), 6, "accuracy")
+
+
+@query
+def q_fold_auc(spark: SparkSession, folder: str) -> DataFrame:
+    """With one rising feature every fold's AUC is the feature's own, whatever the regularisation."""
+    rows = _labelled_orders(spark, folder)
+    ready = training.fit_features(rows, "label", ["level"]).transform(rows)
+    _, table = training.cross_validate(
+        ready, ["o_orderkey"], reg_params=(0.01, 0.1), elastic_net_params=(0.0,), portable=True
+    )
+    return rounded(table, 6, "mean_auc")
+
+
+@query
+def q_box_stats_cut(spark: SparkSession, folder: str) -> DataFrame:
+    lines = read(spark, folder, "lineitem").select("l_returnflag", "l_extendedprice")
+    return rounded(explore.box_stats(lines, "l_returnflag", "l_extendedprice", split=CUT_VALUES), 4, *BOX)
+
+
+@query
+def q_auc_by_key_cut(spark: SparkSession, folder: str) -> DataFrame:
+    lines = read(spark, folder, "lineitem").select(
+        "l_linestatus", R.flag(F.col("l_returnflag") == "R").alias("label"), "l_extendedprice"
+    )
+    return rounded(metrics.auc(lines, "label", "l_extendedprice", ["l_linestatus"], split=CUT_VALUES), 6, "auc")

@@ -8,6 +8,7 @@ from functools import cached_property
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.base import Estimator
+from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,7 +21,7 @@ from racecast.functions import (
     season_of,
     time_band,
 )
-from racecast.models.training import compare_models, fit_models
+from racecast.models.training import compare_models, fit_models, predict_event
 from racecast.operators.dataset import base_table, binary_label, clean_dimension, split_by_hash
 from racecast.operators.explore import (
     box_stats,
@@ -47,6 +48,7 @@ from racecast.operators.features import (
     position_summary_direct,
     stop_summary,
     win_rate,
+    win_rate_as_of,
 )
 from racecast.operators.quality import clean_numeric, imputation_means, impute
 from racecast.session import materialise
@@ -312,11 +314,11 @@ def finish_models(
 ) -> tuple[dict[str, PipelineModel], DataFrame]:
     """(models, report) for "will this driver finish?", from a base table with open means.
 
-    Split by entry, gaps filled from the training rows, encoders fitted on the training rows. Entries
-    without one of the categories are left out.
+    Split by entry, gaps (also of ages, where a date of birth cannot be read) filled from the training rows,
+    encoders fitted on the training rows. Entries without one of the categories are left out.
     """
     categories = [c for c in features if c in CATEGORIES]
-    means = [c for c in MEAN_FILLED if c in features]
+    means = [c for c in (*MEAN_FILLED, "age") if c in features]
     rows = materialise(training_table(base).na.drop("any", subset=categories))
     train, test = split_by_hash(rows, ENTRY, ratio, seed)
     if means:
@@ -324,3 +326,65 @@ def finish_models(
         train, test = impute(train, mean=means, means=of_train), impute(test, mean=means, means=of_train)
     models = fit_models(train, "status", features, categories, estimators)
     return models, compare_models(models, train, test)
+
+
+PRE_RACE_FEATURES = (
+    "driver_experience", "driver_win_rate", "constructor_experience", "constructor_success_rate", "age",
+    "season_name", "time_of_day",
+)
+PRE_RACE_CATEGORIES = ("season_name", "time_of_day")
+
+
+def pre_race_table(tables: Tables, entries: DataFrame | None = None) -> DataFrame:
+    """What is known before a race, per (raceId, driverId, constructorId) of the results and of ``entries``.
+
+    Races run in the order of date and raceId. Experience, win rate of the driver and share of the team's races
+    with a driver among the first three count earlier races only; the rates are 0 before the first race. Adds
+    ``entered``: true for the rows of ``entries``, which need no outcome, false for results. ``finished`` is
+    1 or 0 for results and NULL for entries. A driver without a date of birth has a NULL age.
+    """
+    keys = ["raceId", "driverId", "constructorId"]
+    status = tables["status"].select("statusId", binary_label("status", FINISHED, "finished"))
+    rows = tables["results"].select(*keys, "positionOrder", "statusId", F.lit(False).alias("entered"))
+    rows = rows.join(status, "statusId", "left").drop("statusId")
+    if entries is not None:
+        rows = rows.unionByName(entries.select(*keys, F.lit(True).alias("entered")), allowMissingColumns=True)
+    races = clean_races(tables["races"]).select(
+        "raceId", "season_name", "time_of_day", F.struct(F.to_date("date").alias("day"), "raceId").alias("_when")
+    )
+    rows = rows.join(races, "raceId")
+
+    def before(key: str, success: Column, races_name: str, rate_name: str) -> DataFrame:
+        known = win_rate_as_of(rows, key, "_when", success)
+        rate = F.coalesce("win_rate_before", F.lit(0.0)).alias(rate_name)
+        return known.select(key, "_when", F.col("races_before").alias(races_name), rate)
+
+    ages = age_in_year(named_drivers(tables["drivers"]), "driverId", "dob_date")
+    drivers = before("driverId", F.col("positionOrder") == 1, "driver_experience", "driver_win_rate")
+    teams = before("constructorId", F.col("positionOrder") <= 3, "constructor_experience", "constructor_success_rate")
+    return (
+        rows.join(drivers, ["driverId", "_when"])
+        .join(teams, ["constructorId", "_when"])
+        .join(ages.select("driverId", "age"), "driverId", "left")
+        .select(*keys, "entered", "finished", *PRE_RACE_FEATURES)
+    )
+
+
+def predict_race(
+    tables: Tables,
+    entries: DataFrame,
+    features: Sequence[str] = PRE_RACE_FEATURES,
+    estimator: Estimator | None = None,
+) -> DataFrame:
+    """(raceId, driverId, finish_probability, prediction) per entry (raceId, driverId, constructorId).
+
+    The races of ``entries`` are in the races table; laps, stops and results of theirs are not needed. The model
+    (default: logistic regression) learns from all results; unknown ages are taken as the mean, an unknown
+    time of day as a value of its own.
+    """
+    rows = pre_race_table(tables, entries).na.fill("Unknown", list(PRE_RACE_CATEGORIES))
+    rows = materialise(impute(rows, mean=["age"]))
+    train, upcoming = rows.filter(~F.col("entered")), rows.filter("entered")
+    categories = [c for c in features if c in PRE_RACE_CATEGORIES]
+    models = fit_models(train, "finished", features, categories, {"model": estimator or LogisticRegression()})
+    return predict_event(models["model"], upcoming, ENTRY, [c for c in features if c not in categories])

@@ -12,7 +12,7 @@ from compare import connect, difference
 SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 ROWS_ONLY = sorted(set(QUERIES) - set(ORACLES))
-HEAVY = {"q_model_report", "q_cross_validate", "q_race_model_report", "q_race_top_features", "q_best_model"}
+HEAVY = {"q_model_report", "q_cross_validate", "q_race_model_report", "q_race_top_features", "q_best_model", "q_race_importance"}
 
 
 @pytest.fixture(scope="module")

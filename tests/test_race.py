@@ -4,6 +4,7 @@ import datetime as dt
 
 import pytest
 import raceset
+from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
 from racecast.plans import race
@@ -134,3 +135,37 @@ def test_every_exploration(tables):
     assert [(r.driverId, r.wins, r.points, r.driver_name) for r in best] == [
         (1, 1, 25.0, "Al Ace"), (2, None, 6.0, "Bo Bee"), (3, None, 4.0, "Cy Cee"),
     ]
+
+
+def test_pre_race_features_and_prediction(spark):
+    """Hand-computed: race 7 comes before race 3 by date; race 9 has not been run."""
+    tables = {
+        "races": spark.createDataFrame(
+            [(7, "2018-03-04", "10:00:00"), (3, "2018-07-01", "22:30:00"), (9, "2018-12-02", None)],
+            "raceId int, date string, time string",
+        ).withColumns({"url": F.lit("u"), "year": F.lit(2018)}),
+        "results": spark.createDataFrame(
+            [(7, 1, 10, 1, 1), (7, 2, 10, 5, 2), (3, 1, 10, 2, 2), (3, 2, 11, 1, 1)],
+            "raceId int, driverId int, constructorId int, positionOrder int, statusId int",
+        ),
+        "status": spark.createDataFrame([(1, "Finished"), (2, "Engine")], "statusId int, status string"),
+        "drivers": spark.createDataFrame(
+            [(1, "1990-05-01", "A", "B"), (2, "1985.01.07", "C", "D"), (3, "2000-01-01", "E", "F")],
+            "driverId int, dob string, forename string, surname string",
+        ),
+    }
+    entries = spark.createDataFrame([(9, 1, 10), (9, 2, 11), (9, 3, 12)], "raceId int, driverId int, constructorId int")
+    columns = ["raceId", "driverId", "finished", *race.PRE_RACE_FEATURES]
+    got = {(r.raceId, r.driverId): tuple(r)[2:] for r in race.pre_race_table(tables, entries).select(*columns).collect()}
+    assert got == {
+        (7, 1): (1, 0, 0.0, 0, 0.0, 28, "Spring", "Morning"),
+        (7, 2): (0, 0, 0.0, 0, 0.0, None, "Spring", "Morning"),
+        (3, 1): (0, 1, 1.0, 1, 1.0, 28, "Summer", "Night"),
+        (3, 2): (1, 1, 0.0, 0, 0.0, None, "Summer", "Night"),
+        (9, 1): (None, 2, 0.5, 2, 1.0, 28, "Winter", None),
+        (9, 2): (None, 2, 0.5, 1, 1.0, None, "Winter", None),
+        (9, 3): (None, 0, 0.0, 0, 0.0, 18, "Winter", None),
+    }
+    chances = race.predict_race(tables, entries, estimator=LogisticRegression(regParam=0.1)).collect()
+    assert sorted(r.driverId for r in chances) == [1, 2, 3]
+    assert all(0 <= r.finish_probability <= 1 for r in chances)
