@@ -574,7 +574,7 @@ def _race(spark: SparkSession, folder: str) -> race.RaceData:
 
 
 def _race_base(spark: SparkSession, folder: str, fill_means: bool = True) -> DataFrame:
-    tables = stand_in.race_tables(spark, folder)
+    tables = stand_in.race_tables(spark, folder, keep_lines=True)
     return race.race_base_table(race.clean_tables(tables, fill_means, lap_order=stand_in.LAP_ORDER))
 
 

@@ -160,7 +160,10 @@ def clean_results(results: DataFrame, fill_means: bool = True, history: bool = T
     ``fill_means=False`` leaves the mean-filled columns open, to be filled later from training rows.
     ``history=False`` omits experience and success, which need a shuffle, for reports without them.
     """
-    typed = typed_results(results)
+    return _filled_results(typed_results(results), fill_means, history)
+
+
+def _filled_results(typed: DataFrame, fill_means: bool, history: bool) -> DataFrame:
     filled = impute(typed, zero=ZERO_FILLED, mean=MEAN_FILLED if fill_means else ())
     grouped = filled.withColumn("position_group", position_group("positionOrder"))
     if not history:
@@ -176,16 +179,23 @@ def clean_tables(
     history: bool = True,
     lap_order: Sequence[str] = LAP_ORDER,
 ) -> Tables:
-    """The cleaned tables with their derived features, by the raw tables' names."""
+    """The cleaned tables with their derived features, by the raw tables' names.
+
+    With ``history`` the typed results have five readers (means, win rates, experience, team success, the rows
+    themselves), so they are materialised.
+    """
+    typed = typed_results(tables["results"])
+    if history:
+        typed = materialise(typed)
     return {
         "circuits": clean_circuits(tables["circuits"]),
         "constructorResults": clean_constructor_results(tables["constructorResults"]),
         "constructors": clean_constructors(tables["constructors"]),
-        "drivers": driver_features(tables["drivers"], tables["results"]),
+        "drivers": driver_features(tables["drivers"], typed),
         "lapTimes": lap_features(tables["lapTimes"], order=lap_order),
         "pitStops": stop_features(tables["pitStops"]),
         "races": clean_races(tables["races"], strict_compat),
-        "results": clean_results(tables["results"], fill_means, history),
+        "results": _filled_results(typed, fill_means, history),
         "status": tables["status"],
     }
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from racecast.session import materialise
 from racecast.sources.schemas import NULL_TEXT
 
 FIRST_DAY = "1995-01-01"
@@ -123,14 +124,21 @@ def _stops(lines: DataFrame) -> DataFrame:
     )
 
 
-def race_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The nine tables over the parquet files in ``folder``."""
+def race_tables(spark: SparkSession, folder: str, keep_lines: bool = False) -> dict[str, DataFrame]:
+    """The nine tables over the parquet files in ``folder``.
+
+    ``keep_lines`` materialises the join of orders and lines, for analyses that read both laps and stops.
+    """
 
     def read(name: str) -> DataFrame:
         return spark.read.parquet(f"{folder}/{name}.parquet")
 
     orders, lineitem = read("orders"), read("lineitem")
     lines = _lines(orders, lineitem)
+    if keep_lines:
+        lines = materialise(
+            lines.select("raceId", "driverId", "lap", "l_partkey", "l_quantity", "l_returnflag")
+        )
     return {
         "circuits": read("region").select(
             F.col("r_name").alias("name"), F.lit(0.0).alias("lat"), F.lit(0.0).alias("lng")
