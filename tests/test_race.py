@@ -169,3 +169,17 @@ def test_pre_race_features_and_prediction(spark):
     chances = race.predict_race(tables, entries, estimator=LogisticRegression(regParam=0.1)).collect()
     assert sorted(r.driverId for r in chances) == [1, 2, 3]
     assert all(0 <= r.finish_probability <= 1 for r in chances)
+
+
+def test_base_table_reads_lines_and_results_once(spark):
+    from racecast import session
+    from racecast.plans import stand_in
+
+    with session.intermediates():
+        tables = stand_in.race_tables(spark, "/root/testdata/sf0.001", keep_lines=True)
+        base = race.race_base_table(race.clean_tables(tables, lap_order=stand_in.LAP_ORDER))
+        leaves = base._jdf.queryExecution().optimizedPlan().collectLeaves()
+        columns = [leaves.apply(k).output().mkString(",") for k in range(leaves.size())]
+    # What is left to scan has no column of the raw lines but through a kept table.
+    raw = [c for c in columns if "l_orderkey" in c]
+    assert not raw, raw
