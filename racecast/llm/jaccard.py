@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from racecast.llm.common import Scratch, packed, slices, string_bytes, unpack
 from racecast.llm.groups import connected_groups, in_blocks
+from racecast.llm.line_dedup import forest
 from racecast.llm.words import ODD, mix, sequence_keys, shingles, word_hashes
 
 WORDS = 5
@@ -121,7 +122,7 @@ def _verify(threshold: tuple[int, int]):
     above, below = threshold
 
     def links(table: pa.Table) -> pa.Table:
-        """Per text of a task its number of linked documents and the smallest text it is linked to here."""
+        """Per text of a task its number of linked documents and the least text of its connected group here."""
         table = table.sort_by("root")
         root, node = table.column("root").to_numpy(), table.column("node").to_numpy()
         copies, side = table.column("copies").to_numpy(), table.column("side").to_numpy()
@@ -143,10 +144,14 @@ def _verify(threshold: tuple[int, int]):
             linked = common * (above + below) >= above * (size[a][:, None] + size[b][None, :])
             if own is None:
                 np.fill_diagonal(linked, False)
+            # ``at`` is in the order of nodes, so the least number of a group is its least node.
+            x, y = np.nonzero(linked)
+            under, over = forest(len(at), a[x], b[y])
+            least = np.arange(len(at))
+            least[under] = over
             for x, y, m in ((a, b, linked),) if own is None else ((a, b, linked), (b, a, linked.T)):
                 has = m.any(axis=1)
-                least = np.where(m, node[at[y]][None, :], np.iinfo(np.int64).max).min(axis=1)
-                out.append((node[at[x]][has], (m @ copies[at[y]])[has], least[has]))
+                out.append((node[at[x]][has], (m @ copies[at[y]])[has], node[at[least[x]]][has]))
         columns = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0)] * 3
         return pa.table({n: pa.array(c.astype(np.int64)) for n, c in zip(("node", "links", "least"), columns)})
 

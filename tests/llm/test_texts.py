@@ -251,6 +251,26 @@ def test_jaccard_blocks_and_odd_rows(spark):
     assert jaccard.near_duplicates(df.limit(0), Scratch(spark)).count() == 0
 
 
+@pytest.mark.parametrize("block", [jaccard.BLOCK, 4])
+def test_jaccard_chains(spark, block):
+    """Chains where only neighbours are linked: 40 shingles each, of which neighbours share 36."""
+    texts, key = {}, 0
+    for n in range(4, 21):
+        for _ in range(3):
+            line = [f"c{key}w{k}" for k in range(44 + 4 * n)]
+            for k in range(n):
+                texts[key] = " ".join(line[4 * k : 4 * k + 44])
+                key += 1
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in jaccard.near_duplicates(df, Scratch(spark), block=block).collect()}
+    want, first = {}, 0
+    for n in range(4, 21):
+        for _ in range(3):
+            want |= {first + k: (first, 1 if k in (0, n - 1) else 2) for k in range(n)}
+            first += n
+    assert got == want
+
+
 def test_depth_reaches_the_recall():
     assert jaccard.matched_depth(0.8, 20, 8, 0.999) == 5 and jaccard.matched_depth(0.8, 1, 8, 0.999) == 1
 
