@@ -34,14 +34,16 @@ SPACE = re.compile(r"\s+")
 PUNCTUATION = re.compile(r"[.,;:!?。，；：！？、…]")
 
 # Elements whose content is never text of an article; raw ones end only at their own end tag.
-RAW = frozenset("script style textarea title noscript iframe noframes xmp template svg math object".split())
+RAW = frozenset("script style textarea title noscript iframe noframes xmp template svg object annotation annotation-xml".split())
 APART = frozenset(
     "nav aside footer form button select option input label dialog menu head canvas audio video map datalist".split()
 )
 # Elements inside a block: their tags don't end it, and they are no part of the path.
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd mark q s samp small span strike"
-    " strong sub sup time tt u var wbr br ruby rt rp bold nobr picture source".split()
+    " strong sub sup time tt u var wbr br ruby rt rp bold nobr picture source"
+    " math semantics mi mo mn ms mtext mspace mrow mfrac msqrt mroot msub msup msubsup munder mover munderover"
+    " mmultiscripts mtable mtr mtd mstyle mpadded mphantom mfenced menclose merror annotation annotation-xml".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # A new element of the first kind ends an open one of the second within the same container.
@@ -66,16 +68,20 @@ BESIDE = re.compile(
     re.I,
 )
 OF_ARTICLE = re.compile(r"(?:[a-z]+[_-])?(?:header|masthead|head|tags|legal|alert|side|search)(?![a-z])", re.I)
+ROLE_MAIN = re.compile(r"""\brole\s*=\s*["']?main\b""", re.I)
 CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 
 
 class Node:
-    """A block of text: its path, the elements around it, and whether it lies in a part set apart."""
+    """A block of text: its path, the elements around it, and whether it lies in a part set apart.
 
-    __slots__ = ("path", "around", "parts", "apart", "linked", "length")
+    ``holders`` says which elements of the page are an article or its main part.
+    """
+
+    __slots__ = ("path", "around", "parts", "apart", "holders", "linked", "length")
 
-    def __init__(self, path: str, around: tuple[int, ...], apart: bool):
-        self.path, self.around, self.apart = path, around, apart
+    def __init__(self, path: str, around: tuple[int, ...], apart: bool, holders: dict[int, str]):
+        self.path, self.around, self.apart, self.holders = path, around, apart, holders
         self.parts: list[str] = []
         self.linked = self.length = 0
 
@@ -100,6 +106,7 @@ def blocks(html: str) -> list[Node]:
     stack: list[tuple[str, int, bool]] = []  # tag, number of the element, whether it is set apart
     path, links, articles, number = "", 0, 0, 0
     node: Node | None = None
+    holders: dict[int, str] = {}
     low: str | None = None
 
     def add(text: str) -> None:
@@ -107,7 +114,7 @@ def blocks(html: str) -> list[Node]:
         if node is None:
             if not text.strip():
                 return
-            node = Node(path, tuple(n for _, n, _ in stack), bool(stack) and stack[-1][2])
+            node = Node(path, tuple(n for _, n, _ in stack), bool(stack) and stack[-1][2], holders)
             out.append(node)
         node.parts.append(text)
         n = len(text) - text.count(" ")
@@ -191,6 +198,8 @@ def blocks(html: str) -> list[Node]:
         apart = bool(stack) and stack[-1][2] or beside(tag, rest, articles > 0)
         stack.append((tag, number, apart))
         articles += tag == "article"
+        if tag in ("article", "main") or rest and ROLE_MAIN.search(rest):
+            holders[number] = "article" if tag == "article" else "main"
         path = "/".join(t for t, _, _ in stack)
         links = 0
 
@@ -217,14 +226,44 @@ def scores(nodes: list[Node]) -> np.ndarray:
     return smoothed(text, SMOOTHING) * (1 + smoothed(punctuation, SMOOTHING))
 
 
+def only_links(node: Node) -> bool:
+    return node.linked >= 0.8 * node.length
+
+
+def whole(nodes: list[Node], inner: int, around: tuple[int, ...], path: str) -> int:
+    """The element of the article that ``inner`` is a part of; 0 is the page.
+
+    Without an <article> or main part around it, what stands beside an element is of the same article
+    as long as there are no parts set apart, unless with a title, and no blocks of links only.
+    """
+    holders, place = nodes[0].holders, around.index(inner)
+    for kind in ("article", "main"):
+        for element in around[: place + 1]:
+            if holders.get(element) == kind:
+                return element
+    tags = path.split("/")
+    for step in range(place - 1, -2, -1):
+        parent = around[step] if step >= 0 else 0
+        others = [n for n in nodes if inner not in n.around and (not parent or parent in n.around)]
+        plain = [n for n in others if not n.apart]
+        outer = step < 0 or tags[step] in ("body", "html")
+        titled = not outer and any("h1" in n.path.split("/") for n in plain)
+        if len(plain) < len(others) and not titled or any(only_links(n) for n in plain):
+            break
+        inner = parent
+    return inner
+
+
 def content(nodes: list[Node]) -> list[Node]:
     """The nodes of the article.
 
     Nodes set apart are left out first, so that a long notice can't outweigh a short article. The
     paths whose mean score reaches SHARE of the text-weighted mean are content paths. The article is
-    the smallest element that holds nearly all text of content paths, and all its nodes belong to it.
+    the element that the smallest one with nearly all text of content paths is a part of (see
+    ``whole``), and all its nodes belong to it.
     """
-    nodes = [n for n in nodes if not n.apart and n.length]
+    every = [n for n in nodes if n.length]
+    nodes = [n for n in every if not n.apart]
     if not nodes:
         return []
     score = scores(nodes)
@@ -250,9 +289,14 @@ def content(nodes: list[Node]) -> list[Node]:
             around = next(n.around for n, c in zip(nodes, chosen) if c and article in n.around)
             place = around.index(article)
             article = around[place - 1] if place else 0
+    if article:
+        inmost = next(n for n in nodes if article in n.around)
+        article = whole(every, article, inmost.around, inmost.path)
+        if article in inmost.holders:
+            return [n for n in nodes if article in n.around]
     found = [(n, c) for n, c in zip(nodes, chosen) if not article or article in n.around]
     # Blocks of links only, where the path is no content path, are lists of links.
-    return [n for n, c in found if c or n.linked < 0.8 * n.length]
+    return [n for n, c in found if c or not only_links(n)]
 
 
 def main_text(html: str) -> str:

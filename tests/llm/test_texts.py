@@ -52,6 +52,31 @@ def test_main_text_of_little(page, text):
     assert html_text.main_text(page) == text
 
 
+LONG = "".join(f"<p>Part {k} of the body, with some words; and more, to be long.</p>" for k in range(80))
+PARTS = {
+    "title and lead": ("<h1>Title</h1><p class=lead>The lead.</p>", f"<div class=body>{LONG}</div>", ""),
+    "last section": ("<h1>Title</h1>", f"<section>{LONG}</section>", "<section><h2>End</h2><p>The end.</p></section>"),
+    "list": ("<h1>Title</h1><p>Before.</p>", f"<ul>{LONG.replace('p>', 'li>')}</ul>", "<p>After.</p>"),
+    "quote": ("<p>Before.</p>", f"<blockquote>{LONG}</blockquote>", "<p>After.</p>"),
+    "table": ("<p>Before.</p>", f"<table>{LONG.replace('<p>', '<tr><td>').replace('</p>', '</td></tr>')}</table>", "<p>After.</p>"),
+}
+
+
+@pytest.mark.parametrize("outer", ["<article>{}</article>", "<main>{}</main>", "<div role=main>{}</div>", "<div>{}</div>"])
+@pytest.mark.parametrize("name", PARTS)
+def test_main_text_of_nested_layouts(outer, name):
+    inner = "".join(PARTS[name])
+    page = f"<body><nav><a href=x>Home</a></nav>{outer.format(inner)}<aside><p>Beside, it is.</p></aside></body>"
+    assert html_text.main_text(page).split() == re.sub("<[^>]*>", " ", inner).split()
+
+
+def test_main_text_keeps_links_and_math():
+    math = "<math><mi>a</mi><mo>=</mo><mi>b</mi><annotation>a = b</annotation></math>"
+    links = "<ul><li><a href=x>Source one</a><li><a href=y>Source two</a></ul>"
+    got = html_text.main_text(f"<body><article><div>{LONG}</div><p>So {math} holds.</p>{links}</article></body>")
+    assert got.endswith("So a=b holds.\n\nSource one\n\nSource two")
+
+
 @settings(deadline=None, max_examples=200)
 @given(st.text(st.sampled_from("<>/pabdiv ul\"'=!-&;x"), max_size=80))
 def test_main_text_of_broken_markup(page):
