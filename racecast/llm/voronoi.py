@@ -95,10 +95,11 @@ def top_inner_products(
     q_points = points[: max(1, min(len(points), n_queries // query_block))]
     asked = scratch.keep(_grouped(asked, q_points, width))
 
-    # Summaries: of each data group the k + 1 smallest distances (a query's own row may be one of
-    # them); of each query group its radius, its longest vector and its size.
+    # Summaries: of each data group the k + 1 smallest distances, each id counted once in one group
+    # (a query's own id may be one of them); of each query group its radius, its longest vector and its size.
     nearest = Window.partitionBy("grp").orderBy("distance")
-    near = grouped.select("grp", "distance").withColumn("_r", F.row_number().over(nearest)).filter(F.col("_r") <= k + 1)
+    once = grouped.groupBy("id").agg(F.min(F.struct("distance", "grp")).alias("_least")).select("_least.*")
+    near = once.withColumn("_r", F.row_number().over(nearest)).filter(F.col("_r") <= k + 1)
     near_rows = near.select("grp", "distance").toArrow()
     circles = asked.groupBy("grp").agg(
         F.max("distance").alias("radius"), F.max("norm").alias("norm"), F.count("*").alias("n")

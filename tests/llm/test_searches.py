@@ -131,6 +131,15 @@ def test_voronoi_is_exact(spark):
     assert {tuple(r) for r in got} == want and len(got) == len(want)
 
 
+def test_voronoi_repeated_query_id(spark):
+    """A query's own rows, more than k + 1, equal or not, are no answers that its bound may count on."""
+    rows = [(0, [-100.0, 100.0])] * 15 + [(0, [k - 99.0, 120.0]) for k in range(15)]
+    rows += [(k, [k - 50.0, 50.0]) for k in range(1, 31)]
+    df = spark.createDataFrame(rows, "id long, vector array<double>")
+    got = voronoi.top_inner_products(df, F.col("id") == 0, Scratch(spark)).orderBy("rank").collect()
+    assert [(r["vec_id"], r["score"]) for r in got] == [(k, 100 * (50 - k) + 5000) for k in range(1, 11)]
+
+
 def test_voronoi_whole_numbers_beyond_doubles(spark):
     big = [(0, [2.0**31, 1.0]), (1, [2.0**30, 1.0]), (2, [2.0**30, 2.0])]
     df = spark.createDataFrame(big, "id long, vector array<double>")
