@@ -1,8 +1,9 @@
-"""N-gram Jaccard join of documents by a MinHash LSH forest, verified exactly.
+"""N-gram Jaccard join of documents by MinHash banding, verified exactly.
 
-Every text has a signature for each tree of the forest. Signatures of a tree sort into a prefix trie;
-matched prefixes start at the full depth and are shortened until a pair at the threshold is found with
-the wanted probability. Texts that share a prefix of that length in some tree are candidates. All
+Every text has a key for each of a number of trees: a hash of its first minima there, as many as still
+find a pair at the threshold with the wanted probability. That depth is fixed before any data is read,
+since threshold and recall alone decide it; so this is banding, which took the place of an LSH forest with
+prefixes shortened step by step. Texts with an equal key in some tree are candidates. All
 pairs within a group of candidates are then verified on the shingles themselves, in blocks.
 """
 
