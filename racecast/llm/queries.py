@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from racecast.llm import byte_bpe, html_text, jaccard, language_id, line_dedup, lm_scoring, multi_index, packing, voronoi, warc
+from racecast.llm import byte_bpe, html_text, jaccard, language_id, line_dedup, lm_scoring, multi_index, packing, pii, voronoi, warc
 from racecast.llm.common import Scratch, ship_code, table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -139,3 +139,13 @@ def op8_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     """Log10 probability of every document by a model learnt from those whose crc32 mod 7 is not 2."""
     held = language_id.held_out(F.col("doc_id"), 7, 2)
     return lm_scoring.score(table(spark, folder, "documents"), held, Scratch(spark))
+
+
+@query
+def op13_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in every document: counts and digest of the base kinds, and all spans."""
+    found = pii.find(table(spark, folder, "documents").select("doc_id", "text")).drop("text")
+    base = [kind.name for kind in pii.BASE]
+    counts = [F.size(pii.of_kinds(F.col("pii"), [k])).cast("long").alias(f"n_{k}") for k in base]
+    digest = F.sha2(pii.listed(pii.of_kinds(F.col("pii"), base)), 256)
+    return found.select("doc_id", *counts, digest.alias("base_sha256"), pii.listed(F.col("pii")).alias("spans"))
