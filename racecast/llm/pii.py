@@ -23,7 +23,7 @@ column named ``pii`` is replaced.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -33,53 +33,41 @@ WINDOW = 40
 THRESHOLD = 0.5
 CHUNK = 256
 
-
-def digits(value: Column) -> Column:
-    return F.regexp_replace(value, "[^0-9]", "")
-
-
-def octets(value: Column) -> Column:
-    """Four numbers of at most 255, leading zeros allowed."""
-    part = "0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9][0-9]|[0-9]?)"
-    return value.rlike(rf"^{part}(?:\.{part}){{3}}$")
-
-
-def luhn(value: Column, least: int, most: int) -> Column:
+# Validators: SQL conditions on a match ``v``. Built as SQL text, since the same tree made of many small
+# Column calls takes the driver seconds.
+DIGITS = "regexp_replace(v, '[^0-9]', '')"
+ANY = "true"
+OCTET = "0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9][0-9]|[0-9]?)"
+OCTETS = rf"v RLIKE r'^{OCTET}(?:\.{OCTET}){{3}}$'"
+# Area, group and serial numbers that can have been issued.
+SOCIAL = "NOT v RLIKE '^(?:000|666|9)|-00-|-0000$'"
+# ISO 7064: the first four characters moved to the end, letters as 10 to 35, the rest by 97 is 1.
+COMPACT = "replace(v, ' ', '')"
+MOD_97 = f"""char_length({COMPACT}) BETWEEN 15 AND 34 AND 1 = aggregate(
+    filter(split(substring({COMPACT}, 5) || substring({COMPACT}, 1, 4), ''), c -> c <> ''), 0,
+    (rest, c) -> if(ascii(c) < 65, rest * 10 + ascii(c) - 48, rest * 100 + ascii(c) - 55) % 97)"""
+
+
+def luhn(least: int, most: int) -> str:
     """So many digits, of which the last is the Luhn check digit of the others."""
-    number = digits(value)
-    return F.char_length(number).between(least, most) & F.call_function("luhn_check", number)
-
-
-def mod_97(value: Column) -> Column:
-    """The ISO 7064 check of an account number: its first four characters moved to the end, letters as 10 to 35."""
-    compact = F.regexp_replace(value, " ", "")
-    turned = F.concat(F.substring(compact, 5, 64), F.substring(compact, 1, 4))
-
-    def take(rest: Column, c: Column) -> Column:
-        code = F.ascii(c)
-        return F.when(code < 65, rest * 10 + code - 48).otherwise(rest * 100 + code - 55) % 97
-
-    characters = F.filter(F.split(turned, ""), lambda c: c != "")
-    return F.char_length(compact).between(15, 34) & (F.aggregate(characters, F.lit(0), take) == 1)
-
+    return f"char_length({DIGITS}) BETWEEN {least} AND {most} AND luhn_check({DIGITS})"
 
-def social(value: Column) -> Column:
-    """Area, group and serial numbers that can have been issued."""
-    return ~value.rlike("^(?:000|666|9)|-00-|-0000$")
 
-
-def any_match(value: Column) -> Column:
-    return F.lit(True)
+def n_digits(least: int, most: int) -> str:
+    return f"char_length({DIGITS}) BETWEEN {least} AND {most}"
 
 
 @dataclass(frozen=True)
 class Kind:
-    """A pattern with its validator; ``hint`` is a quick test that every text with a match passes."""
+    """A pattern with its validator; ``hint`` is a quick test that every text with a match passes.
+
+    ``confirmed`` is a SQL condition on the match ``v``. Patterns hold no single quotes.
+    """
 
     name: str
     pattern: str
     hint: str
-    confirmed: Callable[[Column], Column]
+    confirmed: str
     prior: float
     near: str = ""
     against: str = ""
@@ -93,123 +81,91 @@ LOCAL = "A-Za-z0-9._%+-"
 
 BASE = (
     # A local part begins after the last match or after another character; it is tried once.
-    Kind("email", rf"(?:\G|(?<![{LOCAL}]))[{LOCAL}]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "@", any_match, 0.9),
+    Kind("email", rf"(?:\G|(?<![{LOCAL}]))[{LOCAL}]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "@", ANY, 0.9),
     Kind(
-        "ip", r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]", octets, 0.7,
+        "ip", r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]", OCTETS, 0.7,
         r"(?i)\b(?:ip|address|host|server|login)\b", r"(?i)\b(?:version|release|section|chapter)\b", 0.2,
     ),
     Kind(
-        "card", "[0-9](?:[ -]?+[0-9])++", "[0-9](?:[ -]?+[0-9]){15}", lambda v: luhn(v, 16, 19), 0.7, CARD_WORDS,
+        "card", "[0-9](?:[ -]?+[0-9])++", "[0-9](?:[ -]?+[0-9]){15}", luhn(16, 19), 0.7, CARD_WORDS,
         r"(?i)\b(?:order|invoice|tracking|isbn)\b", 0.2,
     ),
     Kind(
-        "phone", r"\+[0-9][ ().0-9-]+[0-9]", r"\+[0-9]", lambda v: F.char_length(digits(v)).between(8, 15), 0.6,
+        "phone", r"\+[0-9][ ().0-9-]+[0-9]", r"\+[0-9]", n_digits(8, 15), 0.6,
         PHONE_WORDS,
     ),
 )
 ADDED = (
     Kind(
         "iban", "(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?+[A-Z0-9]{4}){2,7}(?: ?+[A-Z0-9]{1,3})?+(?![A-Za-z0-9])",
-        "[A-Z]{2}[0-9]{2}", mod_97, 0.8, r"(?i)\b(?:iban|account|konto|compte|cuenta|bank)\b", gain=0.2,
+        "[A-Z]{2}[0-9]{2}", MOD_97, 0.8, r"(?i)\b(?:iban|account|konto|compte|cuenta|bank)\b", gain=0.2,
     ),
     Kind(
-        "ssn", "(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "[0-9]{3}-[0-9]{2}-[0-9]{4}", social, 0.3,
+        "ssn", "(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "[0-9]{3}-[0-9]{2}-[0-9]{4}", SOCIAL, 0.3,
         r"(?i)\b(?:ssn|social security)\b",
     ),
     Kind(
-        "short_card", "[0-9](?:[ -]?+[0-9])++", "[0-9](?:[ -]?+[0-9]){12}", lambda v: luhn(v, 13, 15), 0.3, CARD_WORDS,
+        "short_card", "[0-9](?:[ -]?+[0-9])++", "[0-9](?:[ -]?+[0-9]){12}", luhn(13, 15), 0.3, CARD_WORDS,
     ),
     Kind(
         "local_phone", r"(?<![0-9+().-])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9-])", "[0-9]{3}[ .-][0-9]{4}",
-        any_match, 0.2, PHONE_WORDS,
+        ANY, 0.2, PHONE_WORDS,
     ),
 )
 KINDS = (*BASE, *ADDED)
 SPANS = "array<struct<kind:string,start:bigint,end:bigint,score:double,value:string>>"
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once, however often the body names it."""
-    return F.get(F.transform(F.array(value), body), 0)
-
+def score(kind: Kind) -> str:
+    """SQL of a span's score, from what stands ``before`` and ``after`` it."""
+    total = str(kind.prior)
+    for words, weight in ((kind.near, kind.gain), (kind.against, -kind.loss)):
+        if words:
+            total += f" + if(y.before RLIKE r'{words}' OR y.after RLIKE r'{words}', {weight}D, 0D)"
+    return f"greatest(0D, least(1D, {total}))"
 
-def added_up(numbers: Column) -> Column:
-    return F.aggregate(numbers, F.lit(0).cast("bigint"), lambda a, b: a + b)
 
+def spans_of(text: str, kind: Kind, threshold: float) -> Column:
+    """The spans of one kind; NULL where the text cannot have any.
 
-def score(kind: Kind, before: Column, after: Column) -> Column:
-    total = F.lit(kind.prior)
-    for words, weight in ((kind.near, kind.gain), (kind.against, -kind.loss)):
-        if words:
-            total = total + F.when(before.rlike(words) | after.rlike(words), weight).otherwise(0.0)
-    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), total))
-
-
-def spans_of(text: Column, kind: Kind, threshold: float) -> Column:
-    """The spans of one kind; NULL where the text cannot have any."""
-
-    def located(m: Column) -> Column:
-        pieces, found = m["pieces"], m["found"]
-        size_before = F.transform(
-            pieces,
-            lambda p, i: (F.char_length(p) + F.coalesce(F.char_length(F.get(found, i - 1)), F.lit(0))).cast("bigint"),
-        )
-        good = F.filter(
-            F.transform(found, lambda v, i: F.struct(i.alias("i"), v.alias("value"))), lambda x: kind.confirmed(x["value"])
-        )
-
-        def placed(s: Column) -> Column:
-            sizes, sums = s["sizes"], s["sums"]
-
-            def span(x: Column) -> Column:
-                i, value = x["i"], x["value"]
-                whole = F.floor(i / CHUNK).cast("int")
-                start = added_up(F.slice(sums, F.lit(1), whole)) + added_up(
-                    F.slice(sizes, whole * CHUNK + 1, i - whole * CHUNK + 1)
-                )
-                before = F.right(F.get(pieces, i), F.lit(WINDOW))
-                after = F.left(F.get(pieces, i + 1), F.lit(WINDOW))
-                return F.struct(
-                    F.lit(kind.name).alias("kind"),
-                    start.alias("start"),
-                    F.char_length(value).cast("bigint").alias("end"),
-                    score(kind, before, after).alias("score"),
-                    value.alias("value"),
-                )
-
-            def ended(x: Column) -> Column:
-                return x.withField("end", x["start"] + x["end"])
-
-            return F.filter(F.transform(F.transform(s["good"], span), ended), lambda x: x["score"] >= threshold)
-
-        def summed(s: Column) -> Column:
-            chunks = F.sequence(F.lit(0), F.floor((F.size(s["sizes"]) - 1) / CHUNK).cast("int"))
-            sums = F.transform(chunks, lambda c: added_up(F.slice(s["sizes"], c * CHUNK + 1, F.lit(CHUNK))))
-            return let(F.struct(s["sizes"].alias("sizes"), s["good"].alias("good"), sums.alias("sums")), placed)
-
-        return let(F.struct(size_before.alias("sizes"), good.alias("good")), summed)
-
-    matches = F.struct(
-        F.split(text, kind.pattern, -1).alias("pieces"),
-        F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)).alias("found"),
-    )
-    return F.when(text.rlike(kind.hint), let(matches, located))
+    Each ``transform(array(..), name -> ..)`` gives a name to a value, which is so computed once.
+    """
+    text, pattern, total = "`" + text.replace("`", "``") + "`", f"r'{kind.pattern}'", "0L, (a, b) -> a + b"
+    matches = f"struct(split({text}, {pattern}, -1) AS pieces, regexp_extract_all({text}, {pattern}, 0) AS found)"
+    sizes = "transform(m.pieces, (p, i) -> bigint(char_length(p) + coalesce(char_length(get(m.found, i - 1)), 0)))"
+    good = f"filter(transform(m.found, (v, i) -> if({kind.confirmed}, struct(i, v), NULL)), x -> x IS NOT NULL)"
+    # Not by slice(), which copies its whole array.
+    part = "aggregate(transform(sequence({}, {}), j -> get({}, j)), {})"
+    sums = f"""transform(sequence(0, int(floor((size(s.sizes) - 1) / {CHUNK}))), c -> {part.format(
+        f"c * {CHUNK}", f"least(c * {CHUNK} + {CHUNK}, size(s.sizes)) - 1", "s.sizes", total)})"""
+    chunk = f"int(floor(x.i / {CHUNK}))"
+    start = f"""if({chunk} > 0, {part.format(0, f"{chunk} - 1", "u", total)}, 0L)
+        + {part.format(f"{chunk} * {CHUNK}", "x.i", "s.sizes", total)}"""
+    placed = f"""transform(s.good, x -> struct({start} AS start, x.v AS v,
+        right(get(m.pieces, x.i), {WINDOW}) AS before, left(get(m.pieces, x.i + 1), {WINDOW}) AS after))"""
+    scored = f"""transform({placed}, y -> struct('{kind.name}' AS kind, y.start AS start,
+        y.start + char_length(y.v) AS end, double({score(kind)}) AS score, y.v AS value))"""
+    found = f"""get(transform(array({matches}), m ->
+        get(transform(array(struct({sizes} AS sizes, {good} AS good)), s ->
+        get(transform(array({sums}), u -> filter({scored}, z -> z.score >= {threshold})), 0)), 0)), 0)"""
+    return F.expr(f"if({text} RLIKE r'{kind.hint}', {found}, NULL)")
 
 
 def find(docs: DataFrame, text: str = "text", kinds: Sequence[Kind] = KINDS, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with the column ``pii``; see the module for what it holds and for odd rows."""
     none = F.array().cast(SPANS)
-    found = [F.coalesce(spans_of(F.col(text), kind, threshold), none) for kind in kinds]
+    found = [F.coalesce(spans_of(text, kind, threshold), none) for kind in kinds]
     return docs.withColumn("pii", F.concat(none, *found))
 
 
-def listed(spans: Column) -> Column:
-    """Spans as ``kind:start:end``, joined by commas; empty without spans."""
-    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+def listed(spans: str, names: Sequence[str] | None = None) -> Column:
+    """Spans (of the named kinds) as ``kind:start:end``, joined by commas; empty without spans."""
+    return F.expr(f"array_join(transform({of_kinds(spans, names)}, s -> concat_ws(':', s.kind, s.start, s.end)), ',')")
 
 
-def of_kinds(spans: Column, names: Sequence[str]) -> Column:
-    return F.filter(spans, lambda s: s["kind"].isin(*names))
+def of_kinds(spans: str, names: Sequence[str] | None) -> str:
+    """SQL of the spans of the named kinds."""
+    return f"filter({spans}, s -> s.kind IN ({', '.join(repr(n) for n in names)}))" if names else spans
 
 
 def masked(docs: DataFrame, text: str = "text", kinds: Sequence[Kind] = KINDS, threshold: float = THRESHOLD) -> DataFrame:

@@ -146,6 +146,6 @@ def op13_pii(spark: SparkSession, folder: str) -> DataFrame:
     """Personal data in every document: counts and digest of the base kinds, and all spans."""
     found = pii.find(table(spark, folder, "documents").select("doc_id", "text")).drop("text")
     base = [kind.name for kind in pii.BASE]
-    counts = [F.size(pii.of_kinds(F.col("pii"), [k])).cast("long").alias(f"n_{k}") for k in base]
-    digest = F.sha2(pii.listed(pii.of_kinds(F.col("pii"), base)), 256)
-    return found.select("doc_id", *counts, digest.alias("base_sha256"), pii.listed(F.col("pii")).alias("spans"))
+    counts = [F.expr(f"bigint(size({pii.of_kinds('pii', [k])}))").alias(f"n_{k}") for k in base]
+    digest = F.sha2(pii.listed("pii", base), 256)
+    return found.select("doc_id", *counts, digest.alias("base_sha256"), pii.listed("pii").alias("spans"))

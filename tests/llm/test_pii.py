@@ -73,7 +73,7 @@ def test_random_texts_against_plain_patterns(spark):
 
 @pytest.mark.parametrize(
     "text",
-    ["a" * 200_000, "1." * 100_000, "1 " * 100_000, "a@b.c " * 20_000, "+1" + "(" * 100_000, "a." * 60_000 + "@x",
+    ["a" * 20_000, "1." * 10_000, "1 " * 10_000, "a@b.c " * 20_000, "+1" + "(" * 100_000, "a." * 10_000 + "@x",
      "x@" + "a." * 60_000, "é 4111 1111 1111 1111 " * 3_000],
 )
 def test_very_long_texts(spark, text):
