@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from racecast.llm import byte_bpe, html_text, jaccard, language_id, line_dedup, lm_scoring, multi_index, packing, pii, voronoi, warc
+from racecast.llm import byte_bpe, conversations, html_text, jaccard, language_id, line_dedup, lm_scoring, multi_index, packing, periods, pii, voronoi, warc
 from racecast.llm.common import Scratch, ship_code, table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -149,3 +149,67 @@ def op13_pii(spark: SparkSession, folder: str) -> DataFrame:
     counts = [F.expr(f"bigint(size({pii.of_kinds('pii', [k])}))").alias(f"n_{k}") for k in base]
     digest = F.sha2(pii.listed("pii", base), 256)
     return found.select("doc_id", *counts, digest.alias("base_sha256"), pii.listed("pii").alias("spans"))
+
+
+_PLANTED = r"""
+CASE WHEN crc32(string(doc_id)) % 10 = 0 THEN get(transform(array(regexp_extract_all(text, r'[^\x20\x09-\x0D]+', 0)),
+    w -> get(transform(array(struct(size(w) AS n, crc32(string(doc_id)) div 10 AS g)),
+    s -> get(transform(array(int(s.g % s.n)),
+    a -> get(transform(array(int(1 + (s.n - a) div (3 + s.g % 8))),
+    p -> if(s.n > 0, array_join(transform(sequence(0, s.n - 1), i -> get(w, if(i < a, i, a + (i - a) % p))), ' '), '')),
+    0)), 0)), 0)), 0)
+ELSE text END"""
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of words in every document; every tenth, by crc32, is first made periodic from some word on."""
+    planted = F.expr(_PLANTED).alias("text")
+    found = periods.find(table(spark, folder, "documents").select("doc_id", planted), keep=["doc_id"])
+    best = "array_min(transform(runs, r -> struct(-r.length AS l, r.start AS start, r.period AS period)))"
+    lines = "array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')"
+    return found.withColumn("best", F.expr(best)).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        F.expr("-best.l AS length"),
+        "best.period",
+        F.expr("1000 * -best.l div best.period AS exponent_milli"),
+        F.sha2(F.expr(lines), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+        "n_words",
+    )
+
+
+def _damaged(turns: DataFrame) -> DataFrame:
+    """Conversations with rows dropped, emptied, unpunctuated, repeated or given to the user, by crc32 mod 20."""
+    known = turns.select(
+        "conv_id", "turn", F.coalesce("role", F.lit(" ")).alias("role"), F.coalesce("text", F.lit(" ")).alias("text")
+    )
+    key = F.concat(*(F.coalesce(F.col(c).cast("string"), F.lit(" ")) if c != ":" else F.lit(c) for c in ("conv_id", ":", "turn")))
+    known = known.withColumn("damage", F.crc32(key) % 20).filter("damage <> 0")
+    kind = F.col("damage")
+    text = F.when(kind == 1, "").when(kind == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    role = F.when(kind == 4, "user").otherwise(F.col("role"))
+    copies = F.explode(F.array_repeat(F.lit(0), F.when(kind == 3, 2).otherwise(1)))
+    return known.select("conv_id", "turn", role.alias("role"), text.alias("text"), copies.alias("copy")).drop("copy")
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults of every damaged conversation, and its cheapest repair."""
+    turns, scratch = table(spark, folder, "conversations"), Scratch(spark)
+    repair = conversations.repair(_damaged(turns), scratch)
+    gaps = F.max("turn") - F.min("turn") + 1 - F.countDistinct("turn")
+    of_turns = repair.rows.groupBy("conv").agg(F.coalesce(gaps, F.lit(0)).cast("long").alias("gaps"))
+    out = turns.select(F.col("conv_id").alias("conv")).distinct().alias("all")
+    for name, found in (("g", of_turns), ("t", repair.totals), ("s", conversations.digests(repair.repaired))):
+        on = F.col("all.conv").eqNullSafe(F.col(f"{name}.conv"))
+        out = out.join(found.alias(name), on, "left").drop(F.col(f"{name}.conv")).alias("all")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return out.select(
+        F.col("conv").alias("conv_id"),
+        *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
