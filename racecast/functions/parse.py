@@ -14,6 +14,7 @@ DATE_LAYOUTS = {"-": "yyyy-MM-dd", "/": "dd/MM/yyyy"}
 
 # An integer, or a decimal number whose fraction is cut off; a decimal number.
 INTEGER_TEXT = r"^\s*[+-]?\d+(\.\d*)?\s*$"
+FRACTION_TEXT = r"^\s*[+-]?\.\d+\s*$"
 DECIMAL_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
@@ -37,9 +38,10 @@ def parse_mixed_date(c: str | Column, layouts: dict[str, str] = DATE_LAYOUTS) ->
 
 
 def clean_int(c: str | Column) -> Column:
-    """Text to int, cutting a fraction off: '26.898' is 26, '16:44.718' is NULL."""
+    """Text to int, cutting a fraction off: '26.898' is 26, '.5' is 0, '16:44.718' is NULL."""
     text = as_column(c).cast("string")
-    return F.when(text.rlike(INTEGER_TEXT), F.substring_index(text, ".", 1).try_cast("int"))
+    whole = F.when(text.rlike(INTEGER_TEXT), F.substring_index(text, ".", 1).try_cast("int"))
+    return whole.when(text.rlike(FRACTION_TEXT), 0)
 
 
 def clean_float(c: str | Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from racecast.functions import flag
+from racecast.operators.skew import Skew, salted_join
 
 HASH_BITS = 32
 
@@ -23,13 +24,21 @@ def base_table(
     joins: Sequence[tuple[DataFrame, str | Sequence[str]]],
     drops: Sequence[str] = (),
     how: str = "inner",
+    heavy: Skew | None = None,
 ) -> DataFrame:
     """``entries`` joined in turn with each (table, key or keys).
 
     With ``how="inner"`` an entry survives only if every table knows it. No side is forced to be
-    broadcast: Spark decides by measured size, and splits skewed partitions of a sorted join.
+    broadcast: Spark decides by measured size, and splits skewed partitions of a sorted join. With ``heavy`` keys
+    that hold many entries are looked for in ``entries`` (one pass over the keys of each join) and salted; the keys
+    must then be columns of ``entries``.
     """
     on_keys = [(table, [keys] if isinstance(keys, str) else list(keys)) for table, keys in joins]
+    if heavy is not None:
+        joined = entries
+        for table, keys in on_keys:
+            joined = salted_join(joined, table, keys, how, heavy, heavy_from=entries)
+        return joined.drop(*drops)
     return reduce(lambda left, right: left.join(right[0], right[1], how), on_keys, entries).drop(*drops)
 
 

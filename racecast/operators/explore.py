@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,14 +20,85 @@ WHISKER_REACH = 1.5
 SKETCH_ACCURACY = 10_000
 
 
-def mean_by(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """n, mean, stddev per key and a 95% interval of the mean (normal approximation)."""
+# Weights of a row in the replicates of a bootstrap: Poisson with mean 1, cut off where its chance is below 1e-9.
+MODULUS = 2**31 - 1
+_CHANCES = [math.exp(-1) / math.factorial(k) for k in range(12)]
+WEIGHT_LIMITS = [math.floor(MODULUS * math.fsum(_CHANCES[: k + 1])) for k in range(len(_CHANCES))]
+
+
+@dataclass(frozen=True)
+class Bootstrap:
+    """Poisson bootstrap: ``row_key`` tells rows apart (default: all columns), rows alike in it get equal weights.
+
+    Each row is hashed once to two numbers; its place in replicate b is first + b x second modulo a prime, so
+    replicates are independent in pairs and rows throughout. ``portable`` takes MD5 of the key's text, which other
+    engines compute too.
+    """
+
+    row_key: tuple[str, ...] = ()
+    replicates: int = 1000
+    level: float = 0.95
+    seed: int = 123
+    portable: bool = False
+
+
+def _two_numbers(df: DataFrame, how: Bootstrap) -> tuple[Column, Column]:
+    keys = how.row_key or tuple(df.columns)
+    if how.portable:
+        text = F.concat_ws("|", F.lit(str(how.seed)), *(F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys))
+        code = F.md5(text)
+        parts = (F.conv(F.substring(code, at, 8), 16, 10).cast("bigint") for at in (1, 9))
+    else:
+        parts = (F.xxhash64(F.lit(how.seed), F.lit(i), *keys) for i in range(2))
+    first, second = (F.pmod(p, F.lit(MODULUS)) for p in parts)
+    return first, second
+
+
+def bootstrap_means(df: DataFrame, keys: Sequence[str], value: str, how: Bootstrap = Bootstrap()) -> DataFrame:
+    """(keys, replicate, mean): the mean of each replicate in which a group has any weight.
+
+    One aggregation: a row gives a weight to each replicate, summed within its task, so each task sends on one row
+    for a group and replicate. The result depends on the rows only, however they are partitioned.
+    """
+    first, second = _two_numbers(df, how)
+    known = df.filter(~missing(df, value)).select(
+        *keys, F.col(value).cast("double").alias("_x"), first.alias("_a"), second.alias("_b")
+    )
+    drawn = known.select("*", F.explode(F.sequence(F.lit(1), F.lit(how.replicates))).alias("replicate"))
+    place = F.pmod(F.col("_a") + F.col("replicate") * F.col("_b"), F.lit(MODULUS))
+    weight = F.lit(len(WEIGHT_LIMITS))
+    for k, limit in reversed(list(enumerate(WEIGHT_LIMITS))):
+        weight = F.when(F.col("_place") < limit, k).otherwise(weight)
+    weighed = drawn.withColumn("_place", place).withColumn("_w", weight).filter("_w > 0")
+    sums = weighed.groupBy(*keys, "replicate").agg(F.sum("_w").alias("_n"), F.sum(F.col("_w") * F.col("_x")).alias("_s"))
+    return sums.select(*keys, "replicate", (F.col("_s") / F.col("_n")).alias("mean"))
+
+
+def mean_by(
+    df: DataFrame, keys: Sequence[str], value: str, interval: str = "normal", bootstrap: Bootstrap = Bootstrap()
+) -> DataFrame:
+    """n, mean, stddev per key and an interval of the mean.
+
+    ``interval="normal"`` gives the 95% normal approximation, ``"bootstrap"`` the percentiles of ``bootstrap_means``.
+    """
+    if interval not in ("normal", "bootstrap"):
+        raise ValueError(f"interval is 'normal' or 'bootstrap', not {interval!r}")
     known = df.filter(~missing(df, value))
     stats = known.groupBy(*keys).agg(
         F.count(value).alias("n"), F.avg(value).alias("mean"), F.stddev(value).alias("stddev")
     )
-    half = F.lit(Z_95) * F.col("stddev") / F.sqrt("n")
-    return stats.withColumns({"ci_low": F.col("mean") - half, "ci_high": F.col("mean") + half})
+    if interval == "normal":
+        half = F.lit(Z_95) * F.col("stddev") / F.sqrt("n")
+        return stats.withColumns({"ci_low": F.col("mean") - half, "ci_high": F.col("mean") + half})
+    out = (1 - bootstrap.level) / 2
+    # A group has one row for each replicate here, so its exact percentiles hold a bounded number of values.
+    ends = bootstrap_means(df, keys, value, bootstrap).groupBy(*(F.col(k).alias(f"_{k}") for k in keys)).agg(
+        F.percentile("mean", [out, 1 - out]).alias("_ends")
+    )
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys))
+    return stats.join(ends, same, "left").select(
+        *stats.columns, F.get("_ends", 0).alias("ci_low"), F.get("_ends", 1).alias("ci_high")
+    )
 
 
 def value_counts(df: DataFrame, columns: str | Sequence[str], out: str = "n") -> DataFrame:

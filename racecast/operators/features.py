@@ -16,8 +16,10 @@ from racecast.operators.ordered import (
     Split,
     previous_value,
     running_count,
+    running_counts,
     running_total,
 )
+from racecast.operators.skew import DEFAULT_SKEW, Skew, salted_join
 
 # Season the ages refer to, and the marks for "no earlier lap" and "single stop".
 AGE_YEAR = 2018
@@ -156,17 +158,31 @@ def labelled_stops(stops: DataFrame, threshold: float = 2, out: str = "stop_freq
 
 
 def experience(
-    df: DataFrame, key: str, event: str, out: str = "experience", split: Split = DEFAULT_SPLIT
+    df: DataFrame,
+    key: str,
+    event: str,
+    out: str = "experience",
+    split: Split = DEFAULT_SPLIT,
+    heavy: Skew | None = DEFAULT_SKEW,
 ) -> DataFrame:
-    """Running count of a key's rows by event, rows of the same event counted together."""
-    return running_count(df, [key], event, out, split)
+    """Running count of a key's rows by event, rows of the same event counted together.
+
+    The count of an event is joined back to its rows, with pairs of key and event that hold many rows salted.
+    """
+    if heavy is None:
+        return running_count(df, [key], event, out, split)
+    return salted_join(df, running_counts(df, [key], event, out, split), [key, event], "left", heavy, null_safe=True).select(
+        *df.columns, out
+    )
 
 
-def group_success(df: DataFrame, key: str, rank: str, k: int = 3, out: str = "group_success") -> DataFrame:
+def group_success(
+    df: DataFrame, key: str, rank: str, k: int = 3, out: str = "group_success", heavy: Skew | None = DEFAULT_SKEW
+) -> DataFrame:
     """1 on all rows of a key of which any row has rank <= k, else 0. Rows without key are dropped.
 
-    Aggregate and join rather than a window: a heavy key is reduced before the shuffle, and its
-    rows are not moved at all while the flags stay under the session's broadcast limit.
+    Aggregate and join rather than a window: a heavy key is reduced before the shuffle, and the join back deals its
+    rows out to several tasks.
     """
     flags = df.groupBy(key).agg(F.max(flag(F.col(rank) <= k)).alias(out))
-    return df.join(flags, key)
+    return df.join(flags, key) if heavy is None else salted_join(df, flags, [key], "inner", heavy)

@@ -226,6 +226,15 @@ def running_total(
     return joined.withColumns(out).drop(SEG, *passing, *(keys if whole else []))
 
 
+def running_counts(
+    df: DataFrame, keys: Sequence[str], order: str, out: str, split: Split = DEFAULT_SPLIT
+) -> DataFrame:
+    """(keys, order, out): one row per order value of a key, with the key's rows up to and including it."""
+    known = F.when(F.col(order).isNotNull(), 1).otherwise(0)
+    counts = running_total(df, keys, [order], {"_n": known}, split)
+    return counts.select(*keys, order, F.col("cum__n").alias(out))
+
+
 def running_count(
     df: DataFrame, keys: Sequence[str], order: str, out: str, split: Split = DEFAULT_SPLIT
 ) -> DataFrame:
@@ -235,8 +244,6 @@ def running_count(
     heavy key nor a heavy (key, order) pair is sorted in one task; the join back has one row per pair on
     its right, and adaptive execution splits a skewed left.
     """
-    known = F.when(F.col(order).isNotNull(), 1).otherwise(0)
-    counts = running_total(df, keys, [order], {"_n": known}, split)
-    back = counts.select(*(F.col(c).alias(f"_at_{c}") for c in (*keys, order)), F.col("cum__n").alias(out))
+    back = running_counts(df, keys, order, out, split).withColumnsRenamed({c: f"_at_{c}" for c in (*keys, order)})
     same = [F.col(c).eqNullSafe(F.col(f"_at_{c}")) for c in (*keys, order)]
     return df.join(back, all_of(same), "left").drop(*(f"_at_{c}" for c in (*keys, order)))

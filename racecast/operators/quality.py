@@ -57,27 +57,36 @@ def cardinality(df: DataFrame, columns: Sequence[str] | None = None, approximate
     return reduce(DataFrame.unionByName, counts)
 
 
+DESCRIBED = ("n", "mean", "stddev", "min_value", "max_value", "min_text", "max_text")
+
+
 def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(column_name, n, mean, stddev, min_value, max_value, min_text, max_text) per column.
 
-    Numeric columns fill the value fields, all others the text fields.
+    Numeric columns fill the value fields, all others the text fields: their least and greatest value, compared in
+    their own type. Numbers and the rest are two aggregations, since least texts keep an aggregation from being
+    compiled to one loop.
     """
     columns = list(columns or df.columns)
-    numeric = {c for c in columns if isinstance(df.schema[c].dataType, T.NumericType)}
+    numeric = [c for c in columns if isinstance(df.schema[c].dataType, T.NumericType)]
+    others = [c for c in columns if c not in numeric]
     no_number, no_text = F.lit(None).cast("double"), F.lit(None).cast("string")
-    aggs = []
-    for c in columns:
-        number, text = F.col(c).cast("double"), F.col(c).cast("string")
-        fields = {"n": F.count(c), "mean": no_number, "stddev": no_number, "min_value": no_number,
-                  "max_value": no_number, "min_text": no_text, "max_text": no_text}
-        if c in numeric:
-            fields |= {"mean": F.avg(number), "stddev": F.stddev(number), "min_value": F.min(number),
-                       "max_value": F.max(number)}
-        else:
-            fields |= {"min_text": F.min(text), "max_text": F.max(text)}
-        aggs += [value.alias(f"{c}__{field}") for field, value in fields.items()]
-    fields = ["n", "mean", "stddev", "min_value", "max_value", "min_text", "max_text"]
-    return _rows(df.agg(*aggs), columns, fields)
+    parts = []
+    if numeric:
+        aggs = []
+        for c in numeric:
+            x = F.col(c).cast("double")
+            fields = {"n": F.count(c), "mean": F.avg(x), "stddev": F.stddev(x), "min_value": F.min(x), "max_value": F.max(x)}
+            aggs += [value.alias(f"{c}__{field}") for field, value in fields.items()]
+        one_row = df.agg(*aggs).withColumns({f"{c}__{end}_text": no_text for c in numeric for end in ("min", "max")})
+        parts.append(_rows(one_row, numeric, DESCRIBED))
+    if others:
+        aggs = [F.count(c).alias(f"{c}__n") for c in others]
+        aggs += [f(c).cast("string").alias(f"{c}__{end}_text") for c in others for end, f in (("min", F.min), ("max", F.max))]
+        numbers = DESCRIBED[1:5]
+        one_row = df.agg(*aggs).withColumns({f"{c}__{field}": no_number for c in others for field in numbers})
+        parts.append(_rows(one_row, others, DESCRIBED))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def global_mean(df: DataFrame, c: str, out: str = "mean") -> DataFrame:

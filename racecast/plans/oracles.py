@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 
 def season(month: str) -> str:
     return (
@@ -75,6 +77,30 @@ def mean_by(table: str, keys: str, value: str, digits: int = 4) -> str:
         FROM {table} WHERE {value} IS NOT NULL GROUP BY {keys}"""
 
 
+def bootstrap(table: str, keys: str, value: str, row_key: str, replicates: int = 200, digits: int = 4) -> str:
+    """As ``mean_by``, its interval from Poisson replicates drawn by the MD5 of the row key."""
+    modulus = 2**31 - 1
+    limits, total = [], 0.0
+    for k in range(12):
+        total = math.fsum(math.exp(-1) / math.factorial(j) for j in range(k + 1))
+        limits.append(math.floor(modulus * total))
+    weight = " ".join(f"WHEN place < {limit} THEN {k}" for k, limit in enumerate(limits))
+    text = ", ".join(f"coalesce(CAST({c.strip()} AS VARCHAR), '')" for c in row_key.split(","))
+    number = "CAST('0x' || substr(md5(concat_ws('|', '123', {})), {}, 8) AS BIGINT) % {}"
+    same = " AND ".join(f"s.{k.strip()} IS NOT DISTINCT FROM e.{k.strip()}" for k in keys.split(","))
+    return f"""
+        SELECT s.* REPLACE (round(lo, {digits}) + 0.0 AS ci_low, round(hi, {digits}) + 0.0 AS ci_high)
+        FROM ({mean_by(table, keys, value, digits)}) s LEFT JOIN (
+          SELECT {keys}, quantile_cont(m, 0.025) AS lo, quantile_cont(m, 0.975) AS hi FROM (
+            SELECT {keys}, b, sum(w * x) / sum(w) AS m FROM (
+              SELECT *, CASE {weight} ELSE 12 END AS w FROM (
+                SELECT *, (first + b * second) % {modulus} AS place FROM (
+                  SELECT {keys}, {value}::DOUBLE AS x, {number.format(text, 1, modulus)} AS first,
+                         {number.format(text, 9, modulus)} AS second
+                  FROM {table} WHERE {value} IS NOT NULL), (SELECT range AS b FROM range(1, {replicates + 1}))))
+            WHERE w > 0 GROUP BY {keys}, b) GROUP BY {keys}) e ON {same}"""
+
+
 def histogram(table: str, value: str, bins: int = 20) -> str:
     return f"""
         SELECT b.bin, round(b.low, 6) + 0.0 AS low, round(b.high, 6) + 0.0 AS high, count(v) AS n
@@ -492,10 +518,12 @@ def rank_auc(table: str, score: str, by: str) -> str:
                         + (count(*) OVER (PARTITION BY {by}, {score}) - 1) / 2 AS r FROM {table}) GROUP BY {by}"""
 
 
-GROUP_REPORT = f"""
+def group_report(group: str) -> str:
+    """Report of a model that knows one column only and gives each of its values the share of its training rows."""
+    return f"""
     WITH o AS (SELECT *, CASE WHEN {share_of('123')} < 0.7 THEN 'train' ELSE 'test' END AS split FROM {LABELLED}),
-    means AS (SELECT priority, avg(label) AS mean FROM o WHERE split = 'train' GROUP BY priority),
-    s AS (SELECT *, CASE WHEN mean > 0.5 THEN 1 ELSE 0 END AS guess FROM o JOIN means USING (priority)),
+    means AS (SELECT {group}, avg(label) AS mean FROM o WHERE split = 'train' GROUP BY {group}),
+    s AS (SELECT *, CASE WHEN mean > 0.5 THEN 1 ELSE 0 END AS guess FROM o JOIN means USING ({group})),
     k AS (SELECT split, cls, count(*) FILTER (WHERE label = cls)::DOUBLE AS support,
                  count(*) FILTER (WHERE guess = cls)::DOUBLE AS predicted,
                  count(*) FILTER (WHERE label = cls AND guess = cls)::DOUBLE AS hits
@@ -507,6 +535,8 @@ GROUP_REPORT = f"""
                  round(sum(support * prec) / sum(support), 6) AS weighted_precision,
                  round(sum(support * rec) / sum(support), 6) AS weighted_recall FROM r GROUP BY split)"""
 
+
+GROUP_REPORT = group_report("priority")
 ORACLES |= {
     "q_string_index_many": """
         SELECT part, CAST(row_number() OVER (ORDER BY n DESC, part) - 1 AS DOUBLE) AS part_index, n
@@ -526,7 +556,10 @@ ORACLES |= {
         FROM {LABELLED} GROUP BY 1""",
     "q_svm_apart": f"SELECT o_orderkey, CAST(label AS DOUBLE) AS prediction FROM {LABELLED}",
     "q_group_report": GROUP_REPORT + f"""
-        SELECT 'lr' AS model, m.*, round(auc, 6) AS auc FROM m JOIN ({rank_auc('s', 'mean', 'split')}) USING (split)""",
+        SELECT model, m.*, CASE WHEN model = 'lr' THEN round(auc, 6) END AS auc FROM m JOIN ({rank_auc('s', 'mean', 'split')}) USING (split),
+               (VALUES ('lr'), ('tree')) both_models(model)""",
+    "q_subset_report": group_report("high") + f"""
+        SELECT 'tree' AS model, m.*, round(auc, 6) AS auc FROM m JOIN ({rank_auc('s', 'mean', 'split')}) USING (split)""",
     "q_group_best": GROUP_REPORT + "SELECT 'lr' AS model, split, n, accuracy FROM m WHERE split = 'test'",
     "q_fold_auc": f"""
         WITH f AS (SELECT *, CAST(floor({share_of('fold 123')} * 5) AS INTEGER) AS fold FROM {LABELLED})
@@ -554,3 +587,98 @@ ORACLES |= {
 }
 for _name in ("q_position_change", "q_experience", "q_win_rate_as_of", "q_box_stats", "q_auc_by_key"):
     ORACLES[f"{_name}_cut"] = ORACLES[_name]
+
+ENTRY = "raceId, driverId"
+HOT = """(SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 1 WHEN o_orderkey % 50 <> 7 THEN o_custkey END AS custkey,
+                 CAST(o_orderkey % 24 AS INTEGER) AS place FROM orders)"""
+DAMAGED = """(SELECT o_orderkey, CAST(o_custkey % 3 AS INTEGER) AS part, floor(o_totalprice)::DOUBLE AS good_price,
+                     CASE WHEN o_orderkey % 19 = 3 THEN 'n/a' ELSE CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR) END AS price,
+                     CASE WHEN o_orderkey % 23 = 4 THEN '1997-02-30' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS day,
+                     o_orderstatus AS status, o_orderkey % 17 AS kind FROM orders)"""
+ORACLES |= {
+    "q_mean_by_bootstrap": bootstrap("lineitem", "l_linenumber", "l_quantity", "l_orderkey, l_linenumber, l_partkey"),
+    "q_race_wins_by_race_and_season_bootstrap": RACE + bootstrap("with_laps", "name, season_name", "totalWins", ENTRY),
+    "q_race_stops_by_season_bootstrap": RACE + bootstrap("base", "season_name", "total_pitStops", ENTRY),
+    "q_race_stops_by_season_and_time_bootstrap": RACE + bootstrap(
+        "(SELECT * FROM base WHERE time_of_day IS NOT NULL)", "season_name, time_of_day", "total_pitStops", ENTRY
+    ),
+    "q_race_speed_by_position_bootstrap": RACE + bootstrap("with_laps", "positionOrder", "fastestLapSpeed", ENTRY),
+    "q_race_efficiency_by_wins_bootstrap": RACE + bootstrap("base", "totalWins", "pitStop_efficiency", ENTRY),
+    "q_race_change_by_stop_duration_bootstrap": RACE + bootstrap(
+        "base", "avg_pitStop_duration", "position_change_index", ENTRY
+    ),
+    "q_log_odds_errors": f"""
+        WITH c AS (SELECT high, label, count(*)::DOUBLE AS n FROM {LABELLED} GROUP BY 1, 2),
+        e AS (SELECT 'high' AS feature, sqrt(sum(1 / n)) AS err,
+                     sum(CASE WHEN high = label THEN ln(n) ELSE -ln(n) END) AS coef FROM c
+              UNION ALL SELECT '(intercept)', sqrt(sum(1 / n)), sum(CASE WHEN label = 1 THEN ln(n) ELSE -ln(n) END)
+              FROM c WHERE high = 0)
+        SELECT feature, round(coef, 3) + 0.0 AS coefficient, round(err, 3) + 0.0 AS std_error, round(coef / err, 3) + 0.0 AS z
+        FROM e""",
+    "q_hash_collisions": """
+        SELECT 1 + CAST('0x' || substr(md5(part), 1, 8) AS BIGINT) % 512 AS place, count(*) AS n_values,
+               CAST(sum(k) AS BIGINT) AS n
+        FROM (SELECT CAST(l_partkey AS VARCHAR) AS part, count(*) AS k FROM lineitem GROUP BY 1)
+        GROUP BY 1 HAVING count(*) > 1""",
+    "q_history_features": """
+        SELECT o_custkey, day, count(*) OVER w AS races_before, CAST(coalesce(sum(entries) OVER w, 0) AS BIGINT) AS entries_before,
+               CAST(coalesce(sum(wins) OVER w, 0) AS BIGINT) AS wins_before,
+               round(coalesce(sum(wins) OVER w, 0) / nullif(count(*) OVER w, 0), 3) AS win_rate_before
+        FROM (SELECT o_custkey, strftime(o_orderdate, '%Y-%m-%d') AS day, count(*) AS entries,
+                     count(*) FILTER (WHERE o_orderstatus = 'F') AS wins FROM orders GROUP BY 1, 2)
+        WINDOW w AS (PARTITION BY o_custkey ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+        QUALIFY day >= '1997-06-01'""",
+    "q_history_state": """
+        SELECT o_custkey, count(DISTINCT strftime(o_orderdate, '%Y-%m-%d')) AS races, count(*) AS entries,
+               CAST(count(*) FILTER (WHERE o_orderstatus = 'F') AS BIGINT) AS wins,
+               max(strftime(o_orderdate, '%Y-%m-%d')) AS last_event
+        FROM orders GROUP BY 1""",
+    "q_heavy_hitters": f"""
+        SELECT custkey, count(*) AS n FROM {HOT} GROUP BY custkey
+        HAVING count(*) >= 0.01 * (SELECT count(*) FROM orders)""",
+    "q_salted_join": f"SELECT h.*, c_name FROM {HOT} h LEFT JOIN customer ON custkey = c_custkey",
+    "q_group_success_hot": f"""
+        SELECT *, max(CASE WHEN place <= 0 THEN 1 ELSE 0 END) OVER (PARTITION BY custkey) AS group_success
+        FROM {HOT} WHERE custkey IS NOT NULL""",
+    "q_experience_hot": f"""
+        SELECT *, count(*) OVER (PARTITION BY custkey ORDER BY day) AS experience
+        FROM (SELECT *, CASE WHEN custkey = 1 THEN 1 ELSE place END AS day FROM {HOT})""",
+    "q_base_table_hot": f"""
+        SELECT h.*, c_nationkey, quantity FROM {HOT} h JOIN customer ON custkey = c_custkey
+        JOIN (SELECT l_orderkey, sum(l_quantity) AS quantity FROM lineitem GROUP BY 1) ON o_orderkey = l_orderkey""",
+    "q_csv_types": """
+        SELECT CAST(position AS INTEGER) AS position, column_name, CASE
+            WHEN n = 0 THEN 'string'
+            WHEN n = n_bool THEN 'boolean' WHEN n = n_int THEN 'int' WHEN n = n_big THEN 'bigint'
+            WHEN n = n_double THEN 'double' WHEN n = n_date THEN 'date' WHEN n = n_time THEN 'timestamp' ELSE 'string' END AS data_type
+        FROM (SELECT position, column_name, count(v) AS n,
+                     count(*) FILTER (WHERE v IN ('true', 'false')) AS n_bool,
+                     count(*) FILTER (WHERE TRY_CAST(v AS INTEGER) IS NOT NULL AND regexp_full_match(v, '-?[0-9]+')) AS n_int,
+                     count(*) FILTER (WHERE TRY_CAST(v AS BIGINT) IS NOT NULL AND regexp_full_match(v, '-?[0-9]+')) AS n_big,
+                     count(*) FILTER (WHERE TRY_CAST(v AS DOUBLE) IS NOT NULL) AS n_double,
+                     count(*) FILTER (WHERE TRY_CAST(v AS DATE) IS NOT NULL AND length(v) = 10) AS n_date,
+                     count(*) FILTER (WHERE TRY_CAST(v AS TIMESTAMP) IS NOT NULL AND length(v) > 10) AS n_time
+              FROM (SELECT unnest(range(10)) AS position, unnest(['o_orderkey', 'big', 'price', 'day', 'moment', 'even', 'gaps',
+                                                                 'empty', 'nearly', 'priority']) AS column_name,
+                           unnest([CAST(o_orderkey AS VARCHAR), CAST(o_orderkey * 4000000000 AS VARCHAR),
+                                   CAST(o_totalprice AS VARCHAR), strftime(o_orderdate, '%Y-%m-%d'),
+                                   strftime(o_orderdate, '%Y-%m-%d %H:%M:%S'), CAST(o_orderkey % 2 = 0 AS VARCHAR),
+                                   CAST(nullif(o_orderkey % 7, 0) AS VARCHAR), NULL,
+                                   CASE WHEN o_orderkey = 1 THEN 'x' ELSE CAST(o_orderkey AS VARCHAR) END, o_orderpriority]) AS v
+                    FROM orders)
+              GROUP BY position, column_name)""",
+    "q_csv_base_table": ORACLES["q_race_base_table"],
+    "q_csv_damage": f"""
+        SELECT part AS folder, column_name, count(*) AS n FROM (
+          SELECT part, unnest([CASE WHEN kind IN (1, 2) THEN '_line' END, CASE WHEN price = 'n/a' THEN 'price' END,
+                               CASE WHEN kind <> 2 AND day = '1997-02-30' THEN 'day' END]) AS column_name FROM {DAMAGED})
+        WHERE column_name IS NOT NULL GROUP BY 1, 2""",
+    "q_csv_rescued": f"""
+        SELECT part, o_orderkey, CASE WHEN price <> 'n/a' THEN good_price END AS price,
+               CASE WHEN kind <> 2 AND day <> '1997-02-30' THEN day END AS day, CASE WHEN kind <> 2 THEN status END AS status,
+               CASE WHEN price = 'n/a' THEN price END AS rescued_price,
+               CASE WHEN kind <> 2 AND day = '1997-02-30' THEN day END AS rescued_day,
+               CASE kind WHEN 1 THEN concat_ws(',', part, o_orderkey, price, day, status, 'more')
+                         WHEN 2 THEN concat_ws(',', part, o_orderkey, price) END AS line
+        FROM {DAMAGED}""",
+}

@@ -14,11 +14,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from racecast import functions as R
-from racecast.models import metrics, training
+from racecast.models import hashing, inference, metrics, training
 from racecast.operators.ordered import Split
-from racecast.operators import dataset, explore, features, quality
+from racecast.operators import dataset, explore, features, history, quality, skew
 from racecast.plans import race, stand_in
-from racecast.sources import preview
+from racecast.session import scratch_folder
+from racecast.sources import CsvTable, found_types, load_all, preview, read_csv
+from racecast.sources.schemas import NULL_TEXT
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -433,6 +435,13 @@ def q_mean_by_two(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(explore.mean_by(events, ["event_type", "time_of_day"], "whole"), 4, *MEANS)
 
 
+@query
+def q_mean_by_bootstrap(spark: SparkSession, folder: str) -> DataFrame:
+    how = explore.Bootstrap(("l_orderkey", "l_linenumber", "l_partkey"), REPLICATES, portable=True)
+    lines = read(spark, folder, "lineitem")
+    return rounded(explore.mean_by(lines, ["l_linenumber"], "l_quantity", "bootstrap", how), 4, *MEANS)
+
+
 BOX = ("low", "q1", "median", "q3", "high", "whisker_low", "whisker_high")
 
 
@@ -669,6 +678,28 @@ def _race_topic(topic: str) -> Query:
 
 QUERIES.update({f"q_race_{topic}": _race_topic(topic) for topic in RACE_TOPICS})
 
+# Reports of means, their intervals by a bootstrap that other engines can repeat.
+BOOTSTRAP_TOPICS = (
+    "wins_by_race_and_season", "stops_by_season", "stops_by_season_and_time", "speed_by_position", "efficiency_by_wins",
+    "change_by_stop_duration",
+)
+REPLICATES = 200
+
+
+def _bootstrap_topic(topic: str) -> Query:
+    digits, floats = RACE_TOPICS[topic]
+    how = explore.Bootstrap(tuple(race.ENTRY), REPLICATES, portable=True)
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        tables = stand_in.race_tables(spark, folder)
+        data = race.RaceData(tables, stand_in.YEARS, stand_in.LAP_ORDER, "bootstrap", how)
+        return rounded(race.explore(data, topic), digits, *floats)
+
+    return run
+
+
+QUERIES.update({f"q_race_{topic}_bootstrap": _bootstrap_topic(topic) for topic in BOOTSTRAP_TOPICS})
+
 
 @query
 def q_race_joined_columns(spark: SparkSession, folder: str) -> DataFrame:
@@ -767,6 +798,21 @@ def q_log_odds(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(training.feature_importance(models["lr"], rows), 3, "importance")
 
 
+@query
+def q_log_odds_errors(spark: SparkSession, folder: str) -> DataFrame:
+    """The error of a logarithm of odds is the root of the sum of the cells' inverses."""
+    rows = _labelled_orders(spark, folder)
+    models = training.fit_models(rows, "label", ["high"], estimators={"lr": _sure()})
+    return rounded(inference.coefficient_table(models["lr"], rows), 3, "coefficient", "std_error", "z")
+
+
+@query
+def q_hash_collisions(spark: SparkSession, folder: str) -> DataFrame:
+    """Places that several parts share when their numbers, as text, are hashed to 512 places."""
+    lines = read(spark, folder, "lineitem").select(F.col("l_partkey").cast("string").alias("part"))
+    return hashing.collisions(lines, "part", 512, portable=True)
+
+
 @query
 def q_tree_majority(spark: SparkSession, folder: str) -> DataFrame:
     """A tree that can part all groups predicts each group's majority."""
@@ -797,8 +843,17 @@ REPORTED = ("auc", "accuracy", "f1", "weighted_precision", "weighted_recall")
 
 @query
 def q_group_report(spark: SparkSession, folder: str) -> DataFrame:
-    report = _group_report(spark, folder).filter("model = 'lr'")
-    return rounded(report, 6, *REPORTED)
+    # A tree merges leaves that predict alike, so its area is not that of the groups; all else is.
+    area = F.when(F.col("model") == "lr", F.col("auc")).alias("auc")
+    return rounded(_group_report(spark, folder).withColumn("auc", area), 6, *REPORTED)
+
+
+@query
+def q_subset_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Trained again on one of its features, a tree reports that feature's groups."""
+    train, test = dataset.split_by_hash(_labelled_orders(spark, folder), ["o_orderkey"], portable=True)
+    models = training.fit_models(train, "label", ["high"], estimators={"tree": DecisionTreeClassifier()})
+    return rounded(training.compare_models(models, train, test, score="probability"), 6, *REPORTED)
 
 
 @query
@@ -830,3 +885,149 @@ def q_auc_by_key_cut(spark: SparkSession, folder: str) -> DataFrame:
         "l_linestatus", R.flag(F.col("l_returnflag") == "R").alias("label"), "l_extendedprice"
     )
     return rounded(metrics.auc(lines, "label", "l_extendedprice", ["l_linestatus"], split=CUT_VALUES), 6, "auc")
+
+
+# --- keys that hold a third of all rows -------------------------------------------------------
+
+
+def _hot_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Every third order is one customer's; some orders have none."""
+    key = F.col("o_orderkey")
+    customer = F.when(key % 3 == 0, F.lit(1)).when(key % 50 != 7, F.col("o_custkey")).cast("bigint")
+    return read(spark, folder, "orders").select(key, customer.alias("custkey"), (key % 24).cast("int").alias("place"))
+
+
+@query
+def q_heavy_hitters(spark: SparkSession, folder: str) -> DataFrame:
+    return skew.heavy_hitters(_hot_orders(spark, folder), ["custkey"], share=0.01)
+
+
+@query
+def q_salted_join(spark: SparkSession, folder: str) -> DataFrame:
+    names = read(spark, folder, "customer").select(F.col("c_custkey").alias("custkey"), "c_name")
+    return skew.salted_join(_hot_orders(spark, folder), names, ["custkey"], "left")
+
+
+@query
+def q_group_success_hot(spark: SparkSession, folder: str) -> DataFrame:
+    return features.group_success(_hot_orders(spark, folder), "custkey", "place", k=0)
+
+
+@query
+def q_experience_hot(spark: SparkSession, folder: str) -> DataFrame:
+    orders = _hot_orders(spark, folder).withColumn("day", F.when(F.col("custkey") == 1, 1).otherwise(F.col("place")))
+    return features.experience(orders, "custkey", "day")
+
+
+@query
+def q_base_table_hot(spark: SparkSession, folder: str) -> DataFrame:
+    customer = read(spark, folder, "customer").select(F.col("c_custkey").alias("custkey"), "c_nationkey")
+    sums = read(spark, folder, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.sum("l_quantity").alias("quantity")
+    )
+    joins = [(customer, "custkey"), (sums, "o_orderkey")]
+    return dataset.base_table(_hot_orders(spark, folder), joins, heavy=skew.DEFAULT_SKEW)
+
+
+# --- CSV files --------------------------------------------------------------------------------
+
+
+@query
+def q_csv_types(spark: SparkSession, folder: str) -> DataFrame:
+    """The types found in all rows of a table written as text, of some columns made less regular."""
+    key = F.col("o_orderkey")
+    orders = read(spark, folder, "orders").select(
+        key,
+        (key * 4_000_000_000).alias("big"),
+        F.col("o_totalprice").alias("price"),
+        F.to_date("o_orderdate").alias("day"),
+        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("moment"),
+        (key % 2 == 0).alias("even"),
+        F.when(key % 7 != 0, key % 7).alias("gaps"),
+        F.lit(None).cast("string").alias("empty"),
+        F.when(key == F.lit(1), F.lit("x")).otherwise(key.cast("string")).alias("nearly"),
+        F.col("o_orderpriority").alias("priority"),
+    )
+    path = f"{scratch_folder(spark)}/orders.csv"
+    orders.write.csv(path, header=True, nullValue=NULL_TEXT)
+    texts = spark.read.option("header", True).option("nullValue", NULL_TEXT).csv(path)
+    return found_types(texts)
+
+
+@query
+def q_csv_base_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The race base table from CSV files, with no type but those found in them."""
+    base_dir = scratch_folder(spark)
+    for name, table in stand_in.race_tables(spark, folder).items():
+        table.write.csv(f"{base_dir}/{name}.csv", header=True, nullValue=NULL_TEXT)
+    tables = load_all(spark, base_dir, infer=True)
+    base = race.race_base_table(race.clean_tables(tables, lap_order=stand_in.LAP_ORDER))
+    texts = base.withColumns(
+        {"date": F.col("date").cast("string"), **{c: F.col(c).cast("bigint") for c in ("driverId", "constructorId")}}
+    )
+    floats = ("fastestLapSpeed", "avg_lap_time_seconds", "avg_position_change", "position_change_index")
+    return rounded(texts, 4, *floats)
+
+
+DAMAGED = "part int, o_orderkey bigint, price double, day date, status string"
+
+
+def _damaged_csv(spark: SparkSession, folder: str) -> CsvTable:
+    """Orders as CSV lines, some with a field too many or too few, a bad price or a day that does not exist."""
+    key, part = F.col("o_orderkey"), F.col("o_custkey") % 3
+    price = F.when(key % 19 == 3, "n/a").otherwise(F.floor("o_totalprice").cast("string"))
+    day = F.when(key % 23 == 4, "1997-02-30").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    fields = [part.cast("string"), key.cast("string"), price, day, F.col("o_orderstatus")]
+    line = F.when(key % 17 == 1, F.concat_ws(",", *fields, F.lit("more"))).when(
+        key % 17 == 2, F.concat_ws(",", *fields[:3])
+    ).otherwise(F.concat_ws(",", *fields))
+    path = f"{scratch_folder(spark)}/orders.csv"
+    lines = read(spark, folder, "orders").select(line.alias("value"), part.alias("folder"))
+    lines.write.partitionBy("folder").text(path)
+    schema = spark.createDataFrame([], DAMAGED).schema
+    return read_csv(spark, f"{path}/*", schema, header=False)
+
+
+@query
+def q_csv_damage(spark: SparkSession, folder: str) -> DataFrame:
+    """What could not be read, by folder of the files and column."""
+    found = _damaged_csv(spark, folder).damage()
+    where = F.regexp_extract("file", "folder=([0-9]+)", 1).cast("int").alias("folder")
+    return found.groupBy(where, "column_name").agg(F.sum("n").alias("n"))
+
+
+@query
+def q_csv_rescued(spark: SparkSession, folder: str) -> DataFrame:
+    """Every row that was read, and as text what was not."""
+    rows = _damaged_csv(spark, folder).rows
+    kept = {f"rescued_{c}": F.element_at("_rescued", c) for c in ("price", "day")}
+    return rows.withColumns({**kept, "day": F.col("day").cast("string")}).withColumn(
+        "line", F.element_at("_rescued", "_line")
+    ).drop("_rescued", "_file")
+
+
+# --- histories kept as state ------------------------------------------------------------------
+
+NEW_FROM = "1997-06-01"
+
+
+def _history(spark: SparkSession, folder: str) -> history.Advanced:
+    """The state of all days before ``NEW_FROM``, written and read back, advanced by the days since then."""
+    orders = read(spark, folder, "orders")
+    new = F.to_date("o_orderdate") >= F.lit(NEW_FROM).cast("date")
+    named = {"wins": R.flag(_finished())}
+    day = F.to_date("o_orderdate").cast("string").alias("day")
+    before, since = (orders.filter(part).select("o_custkey", day, "o_orderstatus") for part in (~new, new))
+    path = f"{scratch_folder(spark)}/state"
+    history.history_state(before, "o_custkey", "day", named).write.parquet(path)
+    return history.advance(spark.read.parquet(path), since, "o_custkey", "day", named)
+
+
+@query
+def q_history_features(spark: SparkSession, folder: str) -> DataFrame:
+    return history.rate(_history(spark, folder).features, "wins", "win_rate_before")
+
+
+@query
+def q_history_state(spark: SparkSession, folder: str) -> DataFrame:
+    return _history(spark, folder).state

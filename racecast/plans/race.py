@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from racecast.functions import (
     clean_int,
+    flag,
     full_name,
     lap_time_ms,
     parse_mixed_date,
@@ -24,6 +25,7 @@ from racecast.functions import (
 from racecast.models.training import compare_models, fit_models, predict_event
 from racecast.operators.dataset import base_table, binary_label, clean_dimension, split_by_hash
 from racecast.operators.explore import (
+    Bootstrap,
     box_stats,
     correlation,
     density_grid,
@@ -50,6 +52,7 @@ from racecast.operators.features import (
     win_rate,
     win_rate_as_of,
 )
+from racecast.operators.ordered import running_counts
 from racecast.operators.quality import clean_numeric, imputation_means, impute
 from racecast.session import materialise
 from racecast.sources import schema_report
@@ -58,6 +61,18 @@ ENTRY = ["raceId", "driverId"]
 LAP_ORDER = ("lap",)
 Tables = dict[str, DataFrame]
 
+
+class Clean(dict):
+    """Cleaned tables by name; a table given as a function is built when it is first asked for."""
+
+    def __getitem__(self, name: str) -> DataFrame:
+        value = super().__getitem__(name)
+        if callable(value) and not isinstance(value, DataFrame):
+            value = self[name] = value()
+        return value
+
+
+
 # Names of derived columns, statuses, and column lists of the data set.
 STOP_NAMES = {
     "total_stop_duration": "total_pitStop_duration",
@@ -182,12 +197,21 @@ def clean_tables(
     """The cleaned tables with their derived features, by the raw tables' names.
 
     With ``history`` the typed results have five readers (means, win rates, experience, team success, the rows
-    themselves), so they are materialised.
+    themselves), so they are materialised, dealt out by entry. "entries", "experience" and "success" are the parts of
+    "results": the filled rows, and what is known per driver and race, and per team.
     """
     typed = typed_results(tables["results"])
+    parts = {}
     if history:
-        typed = materialise(typed)
-    return {
+        typed = materialise(typed, ENTRY)
+        parts = {
+            "entries": _filled_results(typed, fill_means, False),
+            "experience": lambda: running_counts(typed, ["driverId"], "raceId", "driver_experience"),
+            "success": typed.groupBy("constructorId").agg(
+                F.max(flag(F.col("positionOrder") <= 3)).alias("constructor_success")
+            ),
+        }
+    return Clean(parts | {
         "circuits": clean_circuits(tables["circuits"]),
         "constructorResults": clean_constructor_results(tables["constructorResults"]),
         "constructors": clean_constructors(tables["constructors"]),
@@ -195,9 +219,9 @@ def clean_tables(
         "lapTimes": lap_features(tables["lapTimes"], order=lap_order),
         "pitStops": stop_features(tables["pitStops"]),
         "races": clean_races(tables["races"], strict_compat),
-        "results": _filled_results(typed, fill_means, history),
+        "results": lambda: _filled_results(typed, fill_means, history),
         "status": tables["status"],
-    }
+    })
 
 
 def results_with_drivers(clean: Tables) -> DataFrame:
@@ -216,8 +240,19 @@ def results_with_laps(clean: Tables) -> DataFrame:
 
 
 def race_base_table(clean: Tables) -> DataFrame:
-    """One row per result whose entry has both laps and stops."""
-    return base_table(results_with_laps(clean), [(clean["pitStops"], ENTRY)])
+    """One row per result whose entry has both laps and stops.
+
+    Results, laps and stops are joined first: where all three are kept dealt out by entry, without an exchange. What
+    is left of them then meets the histories and the tables of drivers, races and teams.
+    """
+    if "entries" not in clean:
+        return base_table(results_with_laps(clean), [(clean["pitStops"], ENTRY)])
+    entries = base_table(clean["entries"], [(clean["lapTimes"], ENTRY), (clean["pitStops"], ENTRY)])
+    others = [
+        (clean["experience"], ["driverId", "raceId"]), (clean["success"], "constructorId"), (clean["races"], "raceId"),
+        (clean["drivers"], "driverId"), (clean["constructors"], "constructorId"), (clean["status"], "statusId"),
+    ]
+    return base_table(entries, others)
 
 
 def training_table(base: DataFrame) -> DataFrame:
@@ -227,11 +262,20 @@ def training_table(base: DataFrame) -> DataFrame:
 
 @dataclass
 class RaceData:
-    """The raw tables with the joined tables the reports start from, each built when first used."""
+    """The raw tables with the joined tables the reports start from, each built when first used.
+
+    ``interval`` and ``bootstrap`` say how the reports of means give their intervals.
+    """
 
     tables: Tables
     years: tuple[int, int] = YEARS
     lap_order: Sequence[str] = LAP_ORDER
+    interval: str = "normal"
+    bootstrap: Bootstrap = Bootstrap(tuple(ENTRY))
+
+    def means(self, rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+        """``mean_by`` with the intervals asked for; rows of a bootstrap are told apart by their entry."""
+        return mean_by(rows, keys, value, self.interval, self.bootstrap)
 
     @cached_property
     def clean(self) -> Tables:
@@ -272,7 +316,7 @@ def constructor_wins(data: RaceData) -> DataFrame:
 
 def rank_by_experience(data: RaceData) -> DataFrame:
     known = experience(data.clean["results"], "driverId", "raceId", "driver_experience")
-    return mean_by(results_with_drivers({**data.clean, "results": known}), ["driver_experience"], "rank")
+    return data.means(results_with_drivers(Clean(data.clean, results=known)), ["driver_experience"], "rank")
 
 
 def failures_by_speed(data: RaceData, failures: Sequence[str] = FAILURES) -> DataFrame:
@@ -293,20 +337,20 @@ EXPLORATIONS: dict[str, Callable[[RaceData], DataFrame]] = {
     "win_rates": lambda d: histogram(d.with_drivers, "winRate"),
     "win_rates_density": lambda d: density_grid(d.with_drivers, "winRate"),
     "rank_by_experience": rank_by_experience,
-    "wins_by_race_and_season": lambda d: mean_by(d.with_laps, ["name", "season_name"], "totalWins"),
+    "wins_by_race_and_season": lambda d: d.means(d.with_laps, ["name", "season_name"], "totalWins"),
     "lap_seconds_by_season": lambda d: box_stats(d.with_laps, "season_name", "avg_lap_time_seconds"),
     "position_change_by_season": lambda d: box_stats(d.with_laps, "season_name", "avg_position_change"),
-    "stops_by_season": lambda d: mean_by(d.base, ["season_name"], "total_pitStops"),
-    "stops_by_season_and_time": lambda d: mean_by(
+    "stops_by_season": lambda d: d.means(d.base, ["season_name"], "total_pitStops"),
+    "stops_by_season_and_time": lambda d: d.means(
         d.base.filter(F.col("time_of_day").isNotNull()), ["season_name", "time_of_day"], "total_pitStops"
     ),
     "stop_duration_by_season": lambda d: box_stats(d.base, "season_name", "avg_pitStop_duration"),
     "top_statuses": lambda d: top_k(value_counts(d.with_laps, "status"), "n", TOP_STATUSES, "status"),
     "failures_by_speed": failures_by_speed,
-    "speed_by_position": lambda d: mean_by(d.with_laps, ["positionOrder"], "fastestLapSpeed"),
+    "speed_by_position": lambda d: d.means(d.with_laps, ["positionOrder"], "fastestLapSpeed"),
     "duration_vs_efficiency": lambda d: pair_counts(d.base, "avg_pitStop_duration", "pitStop_efficiency"),
-    "efficiency_by_wins": lambda d: mean_by(d.base, ["totalWins"], "pitStop_efficiency"),
-    "change_by_stop_duration": lambda d: mean_by(d.base, ["avg_pitStop_duration"], "position_change_index"),
+    "efficiency_by_wins": lambda d: d.means(d.base, ["totalWins"], "pitStop_efficiency"),
+    "change_by_stop_duration": lambda d: d.means(d.base, ["avg_pitStop_duration"], "position_change_index"),
     "joined_columns": lambda d: schema_report(d.with_laps),
 }
 

@@ -127,7 +127,7 @@ def _stops(lines: DataFrame) -> DataFrame:
 def race_tables(spark: SparkSession, folder: str, keep_lines: bool = False) -> dict[str, DataFrame]:
     """The nine tables over the parquet files in ``folder``.
 
-    ``keep_lines`` materialises the join of orders and lines, for analyses that read both laps and stops.
+    ``keep_lines`` materialises the join of orders and lines by entry, for analyses that read both laps and stops.
     """
 
     def read(name: str) -> DataFrame:
@@ -137,7 +137,7 @@ def race_tables(spark: SparkSession, folder: str, keep_lines: bool = False) -> d
     lines = _lines(orders, lineitem)
     if keep_lines:
         lines = materialise(
-            lines.select("raceId", "driverId", "lap", "l_partkey", "l_quantity", "l_returnflag")
+            lines.select("raceId", "driverId", "lap", "l_partkey", "l_quantity", "l_returnflag"), ["raceId", "driverId"]
         )
     return {
         "circuits": read("region").select(

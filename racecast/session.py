@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from functools import partial
 
@@ -36,6 +37,19 @@ def shared_folder(spark: SparkSession) -> str | None:
     return spark.conf.get("spark.checkpoint.dir", None)
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """A new place for files in the shared folder; on one machine without that setting, in a temporary folder."""
+    folder = shared_folder(spark)
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all nodes share")
+        folder = tempfile.mkdtemp(prefix="racecast-")
+    path = f"{folder.rstrip('/')}/racecast-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(partial(_delete, spark, path))
+    return path
+
+
 _scopes: list[list[Callable[[], object]]] = []
 
 
@@ -55,24 +69,43 @@ def _delete(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def materialise(df: DataFrame) -> DataFrame:
+def materialise(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Compute ``df`` once for several readers.
 
     Written as a table to the shared folder, so a lost executor costs one re-read and each reader
     scans only its columns. Without such a folder the rows are kept by ``persist``, with the plan as
     the way back. Inside ``intermediates`` it is dropped at the end of that block; otherwise it is left
     to the owner of the folder or session.
+
+    With ``by`` the rows are dealt out by these columns once and kept so, as a bucketed table in the shared folder: joins
+    and groupings on them need no further exchange.
     """
     spark = df.sparkSession
     folder = shared_folder(spark)
+    if by:
+        df = df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *by)
     if folder is None:
         kept = df.persist(StorageLevel.MEMORY_AND_DISK)
         drop = kept.unpersist
     else:
-        path = f"{folder.rstrip('/')}/racecast-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
-        df.write.parquet(path)
-        kept = spark.read.schema(df.schema).parquet(path)
+        name = uuid.uuid4().hex
+        path = f"{folder.rstrip('/')}/racecast-{spark.sparkContext.applicationId}/{name}"
         drop = partial(_delete, spark, path)
+        if by:
+            table = f"racecast_{name}"
+            buckets = df.write.format("parquet").option("path", path)
+            n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+            buckets.bucketBy(n, *by).sortBy(*by).saveAsTable(table)
+            kept = spark.table(table)
+            drop = partial(_drop_table, spark, table, drop)
+        else:
+            df.write.parquet(path)
+            kept = spark.read.schema(df.schema).parquet(path)
     if _scopes:
         _scopes[-1].append(drop)
     return kept
+
+
+def _drop_table(spark: SparkSession, table: str, delete: Callable[[], object]) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    delete()

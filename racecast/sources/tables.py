@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from racecast.functions import clean_float, clean_int
+from racecast.sources.csv_files import read_csv
 from racecast.sources.schemas import NULL_TEXT, SCHEMAS
 
 
@@ -31,16 +32,24 @@ def _typed(raw: DataFrame, name: str) -> DataFrame:
     return raw.select(*known, *(F.col(f"`{f.name}`") for f in present.values()))
 
 
-def load_table(spark: SparkSession, base_dir: str, name: str, fmt: str = "csv") -> DataFrame:
-    """One of the nine race tables from ``base_dir``, matched by column name, without type inference."""
+def load_table(spark: SparkSession, base_dir: str, name: str, fmt: str = "csv", infer: bool = False) -> DataFrame:
+    """One of the nine race tables from ``base_dir``, matched by column name.
+
+    With ``infer`` every column of a CSV table has the type found in its rows, else the library's columns have
+    the types they are known to have and further columns stay text.
+    """
+    if infer and fmt == "csv":
+        found = read_csv(spark, f"{base_dir.rstrip('/')}/{name}.csv").plain
+        names = {f.lower(): f for f in found.columns}
+        return found.withColumnsRenamed({names[f.name.lower()]: f.name for f in SCHEMAS[name] if f.name.lower() in names})
     reader = spark.read.format(fmt)
     if fmt == "csv":
         reader = reader.option("header", True).option("nullValue", NULL_TEXT)
     return _typed(reader.load(f"{base_dir.rstrip('/')}/{name}.{fmt}"), name)
 
 
-def load_all(spark: SparkSession, base_dir: str, fmt: str = "csv") -> dict[str, DataFrame]:
-    return {name: load_table(spark, base_dir, name, fmt) for name in SCHEMAS}
+def load_all(spark: SparkSession, base_dir: str, fmt: str = "csv", infer: bool = False) -> dict[str, DataFrame]:
+    return {name: load_table(spark, base_dir, name, fmt, infer) for name in SCHEMAS}
 
 
 def preview(df: DataFrame, n: int = 5, by: str | None = None) -> DataFrame:
