@@ -62,13 +62,18 @@ def all_of(conditions: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions)
 
 
+def cut_sample(df: DataFrame, keys: Sequence[str], order: Sequence[str], split: Split) -> DataFrame:
+    """The distinct (key, order) tuples whose hash falls to a fixed share."""
+    step = max(1, split.rows_per_segment // split.sampled)
+    return df.select(*keys, *order).filter(F.pmod(F.xxhash64(*keys, *order), F.lit(step)) == 0).distinct()
+
+
 def cut_points(df: DataFrame, keys: Sequence[str], order: Sequence[str], split: Split = DEFAULT_SPLIT) -> DataFrame:
     """Segments (keys, _seg, _lo, _hi) of the keys estimated to hold two segments or more.
 
     A segment holds the rows with ``_lo <= order tuple < _hi``; NULL stands for an open end.
     """
-    step = max(1, split.rows_per_segment // split.sampled)
-    sample = df.select(*keys, *order).filter(F.pmod(F.xxhash64(*keys, *order), F.lit(step)) == 0).distinct()
+    sample = cut_sample(df, keys, order, split)
     in_order = Window.partitionBy(*keys).orderBy(*order)
     at = F.struct(*order)
     ranked = sample.withColumns(
@@ -89,10 +94,16 @@ def cut_points(df: DataFrame, keys: Sequence[str], order: Sequence[str], split:
 def find_cuts(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], split: Split = DEFAULT_SPLIT
 ) -> Cuts | None:
-    """The cuts of ``df``, computed once; None where no key needs any, so that the plain window is planned."""
+    """The cuts of ``df``, computed once; None where no key needs any, so that the plain window is planned.
+
+    Whether a key needs cuts is seen from the counts of the sample alone, without ordering or keeping it.
+    """
+    sizes = cut_sample(df, keys, order, split).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    if not (sizes.agg(F.max("n")).first()[0] or 0) >= 2 * split.sampled:
+        return None
     table = materialise(cut_points(df, keys, order, split))
     n, last = table.agg(F.count(F.lit(1)), F.max(SEG)).first()
-    return Cuts(table, last + 1, n <= split.broadcast_cuts) if n else None
+    return Cuts(table, last + 1, n <= split.broadcast_cuts)
 
 
 def _lookup(df: DataFrame, near: DataFrame, keys: Sequence[str], at: Column, lo: str, hi: str) -> DataFrame:

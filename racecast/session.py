@@ -95,7 +95,7 @@ def materialise(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
             table = f"racecast_{name}"
             buckets = df.write.format("parquet").option("path", path)
             n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-            buckets.bucketBy(n, *by).sortBy(*by).saveAsTable(table)
+            buckets.bucketBy(n, *by).saveAsTable(table)
             kept = spark.table(table)
             drop = partial(_drop_table, spark, table, drop)
         else:

@@ -18,8 +18,8 @@ def test_mixed_dates(spark):
 
 
 def test_clean_int(spark):
-    rows = ["26.898", "16:44.718", "\\N", " 7 ", "-3", "99999999999", "1e3", "", None]
-    assert values(spark, "string", rows, R.clean_int("x")) == [26, None, None, 7, -3, None, None, None, None]
+    rows = ["26.898", "16:44.718", "\\N", " 7 ", "-3", "99999999999", "1e3", "", None, ".5", "-.5", "."]
+    assert values(spark, "string", rows, R.clean_int("x")) == [26, None, None, 7, -3, None, None, None, None, 0, 0, None]
 
 
 def test_lap_time(spark):

@@ -7,9 +7,13 @@ import raceset
 from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
-from racecast.plans import race
+from racecast.operators.dataset import base_table
+from racecast.plans import race, stand_in
+from racecast.session import intermediates, shared_folder
 from racecast.sources import load_all, load_table, preview, schema_report
 
+SF = "/root/testdata/sf0.001"
+
 
 @pytest.fixture(scope="module")
 def tables(spark, tmp_path_factory):
@@ -183,3 +187,31 @@ def test_base_table_reads_lines_and_results_once(spark):
     # What is left to scan has no column of the raw lines but through a kept table.
     raw = [c for c in columns if "l_orderkey" in c]
     assert not raw, raw
+
+
+def test_results_laps_and_stops_are_joined_without_an_exchange(spark):
+    """Kept by entry in the shared folder, the three meet in place: no exchange below their joins."""
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with intermediates():
+            tables = stand_in.race_tables(spark, SF, keep_lines=True)
+            clean = race.clean_tables(tables, lap_order=stand_in.LAP_ORDER)
+            joins = [(clean["lapTimes"], race.ENTRY), (clean["pitStops"], race.ENTRY)]
+            plan = base_table(clean["entries"], joins)._jdf.queryExecution().executedPlan().toString()
+            kept = shared_folder(spark) is not None
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert plan.count("SortMergeJoin") == 2
+    if kept:
+        assert "Exchange hashpartitioning" not in plan
+
+
+def test_base_table_is_the_join_of_the_cleaned_tables(spark):
+    tables = stand_in.race_tables(spark, SF)
+    clean = race.clean_tables(tables, lap_order=stand_in.LAP_ORDER)
+    whole = {name: table for name, table in clean.items() if name not in ("entries", "experience", "success")}
+    one, two = race.race_base_table(clean), race.race_base_table(race.Clean(whole))
+    assert set(one.columns) == set(two.columns)
+    names = sorted(one.columns)
+    assert sorted(map(repr, one.select(names).collect())) == sorted(map(repr, two.select(names).collect()))
