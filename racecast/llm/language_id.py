@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from racecast.llm.common import text_column
+from racecast.llm.common import slices, string_bytes, text_column
 from racecast.llm.words import ODD, HashArray, mix
 
 ORDER = 5
@@ -303,6 +303,26 @@ def identify(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str,
     return chosen.mapInArrow(run, f"{schema}, lang_pred string, lang_score double, lang_accepted boolean")
 
 
+def accepted(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose language the model accepts, with their columns as they are.
+
+    Rows pass through Python once, in parts of some megabytes of text, and only those accepted come back. NULL, empty
+    and letterless texts are not accepted. No column is added, so any names may occur; an empty table gives an empty one.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            _, offsets = string_bytes(batch.column(at))
+            for first, last in slices(offsets):
+                part = batch.slice(first, last - first)
+                _, _, fits = shared.value.predict([t or "" for t in part.column(at).to_pylist()])
+                yield part.filter(pa.array(fits, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(key: Column, parts: int, part: int) -> Column:
     """Whether the crc32 of the key, written in digits, leaves ``part`` divided by ``parts``."""
     return F.pmod(F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")), F.lit(parts)) == part
