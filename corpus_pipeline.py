@@ -14,13 +14,19 @@ from racecast.llm.common import Scratch, ship_code, table, tokenizer_path
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def apart(docs: DataFrame) -> DataFrame:
+    """``docs`` with its columns but key and text named by their places, so that no stage's own columns clash with them."""
+    return docs.toDF(*(n if n in ("doc_id", "text") else f"_column_{i}" for i, n in enumerate(docs.columns)))
+
+
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language the models, fitted on the labelled documents at hand, accept."""
+    """Documents whose language the models, fitted on the labelled documents at hand, accept.
+
+    A document without a letter, or with a NULL or empty text, is not accepted and goes. Repeated rows stay or go alike;
+    an empty table stays empty; without labelled documents nothing is accepted. Further columns pass through.
+    """
     ship_code(spark)
-    model = language_id.fit(docs)
-    columns = tuple(docs.columns)
-    found = language_id.identify(docs, model, keep=columns)
-    return found.filter("lang_accepted").select(*(F.col(c) for c in columns))
+    return language_id.accepted(docs, language_id.fit(docs.select("doc_id", "text", "lang")))
 
 
 _open: list[Scratch] = []
@@ -42,21 +48,32 @@ def _scratch(spark: SparkSession) -> Scratch:
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that repeat, or nearly repeat, a line of an earlier document or place.
 
-    A document that loses all lines it had goes.
+    A document that loses all lines it had goes. A NULL text stays NULL; rows with a NULL key stay as they are; an empty
+    table stays empty; further columns, of any name, pass through.
     """
     ship_code(spark)
-    found = line_dedup.deduplicated(docs, _scratch(spark))
-    return found.filter((F.col("n_removed") == 0) | F.col("text").rlike(r"\S")).select(*(F.col(c) for c in docs.columns))
+    named = apart(docs)
+    found = line_dedup.deduplicated(named, _scratch(spark))
+    kept = found.filter((F.col("n_removed") == 0) | F.col("text").rlike(r"\S"))
+    return kept.select(*named.columns).toDF(*docs.columns)
 
 
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each connected group with five-word Jaccard similarity of 0.8 or more."""
+    """The first document of each connected group with five-word Jaccard similarity of 0.8 or more.
+
+    Of rows that repeat a key one stays; rows with a NULL key stay; an empty table stays empty; further columns, of any
+    name, pass through.
+    """
     ship_code(spark)
-    return jaccard.one_of_each(docs, _scratch(spark))
+    return jaccard.one_of_each(apart(docs), _scratch(spark)).toDF(*docs.columns)
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents, each with its sequence of 2048 tokens and its place there."""
+    """The pieces of all documents, each with its sequence of 2048 tokens and its place there.
+
+    A NULL or empty text is a piece of the end token alone; repeated rows are packed each; an empty table gives no
+    pieces. Further columns do not pass through.
+    """
     ship_code(spark)
     return packing.pack(docs, tokenizer_path("byte_bpe_50k.json"), _scratch(spark))
 
