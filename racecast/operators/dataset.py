@@ -25,23 +25,38 @@ def base_table(
     drops: Sequence[str] = (),
     how: str = "inner",
     heavy: Skew | None = None,
+    null_safe: bool = False,
 ) -> DataFrame:
     """``entries`` joined in turn with each (table, key or keys).
 
     With ``how="inner"`` an entry survives only if every table knows it. No side is forced to be
     broadcast: Spark decides by measured size, and splits skewed partitions of a sorted join. With ``heavy`` keys
     that hold many entries are looked for in ``entries`` (one pass over the keys of each join) and salted; the keys
-    must then be columns of ``entries``.
+    must then be columns of ``entries``. With ``null_safe`` a NULL key matches a NULL key, as when data frames are
+    merged in memory; else rows without a key find no partner.
     """
     on_keys = [(table, [keys] if isinstance(keys, str) else list(keys)) for table, keys in joins]
     if heavy is not None:
         joined = entries
         for table, keys in on_keys:
-            joined = salted_join(joined, table, keys, how, heavy, heavy_from=entries)
+            joined = salted_join(joined, table, keys, how, heavy, null_safe, entries)
         return joined.drop(*drops)
+    if null_safe:
+        return reduce(lambda left, right: _null_safe_join(left, *right, how), on_keys, entries).drop(*drops)
     return reduce(lambda left, right: left.join(right[0], right[1], how), on_keys, entries).drop(*drops)
 
 
+def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on keys of which NULL equals NULL; columns as of a join on names."""
+    named = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys))
+    joined = left.join(named, same, how)
+    if how in ("right", "full", "outer", "right_outer", "full_outer"):
+        joined = joined.withColumns({k: F.coalesce(k, f"_right_{k}") for k in keys})
+    joined = joined.drop(*(f"_right_{k}" for k in keys))
+    return joined.select(*keys, *(c for c in joined.columns if c not in keys))
+
+
 def binary_label(c: str, positive: str, out: str | None = None) -> Column:
     """1 for the positive value, 0 for any other and for NULL."""
     return flag(F.col(c) == positive).alias(out or c)

@@ -208,6 +208,44 @@ def density_grid(df: DataFrame, value: str, points: int = 200, bandwidth: float
     return sums.select(at.alias("x"), (F.col("s") / (n * h * math.sqrt(2 * math.pi))).alias("density"))
 
 
+def binning_error(width: float, bandwidth: float) -> float:
+    """Most that ``density_binned`` is off at any place, for bins of a width.
+
+    Sharing a value between the ends of its bin replaces the kernel by the straight lines between the ends, which
+    are off by at most an eighth of the squared width times the greatest second derivative of the kernel.
+    """
+    return width**2 / 8 / (bandwidth**3 * math.sqrt(2 * math.pi))
+
+
+def density_binned(
+    df: DataFrame, value: str, points: int = 200, bins: int = 4096, bandwidth: float | None = None
+) -> DataFrame:
+    """(x, density) as ``density_grid``, up to ``binning_error``, from one row a bin however many values there are.
+
+    Each value is shared between the two ends of its bin in inverse proportion to its distances from them, which one
+    aggregation over the bins does; the ends then take the place of the values. Values on the ends are exact.
+    """
+    known, extent = _extent(df, value)
+    scale = F.lit(bandwidth) if bandwidth else F.col("spread") * F.pow("n", F.lit(-0.2))
+    span = F.col("high") - F.col("low")
+    grid = extent.select("low", "n", (span / bins).alias("width"), (span / (points - 1)).alias("gap"), scale.alias("h"))
+    at_grid = grid.select(F.struct("low", "width", "gap", "h", "n").alias("s")).scalar()
+    low, width, gap, h, n = (at_grid.getField(c) for c in ("low", "width", "gap", "h", "n"))
+    place = F.try_divide(F.col("v") - low, width)
+    binned = known.select(place.alias("place")).select(F.floor("place").alias("bin"), (F.col("place") - F.floor("place")).alias("part"))
+    sums = binned.groupBy("bin").agg(F.count("part").alias("k"), F.sum("part").alias("upper"))
+    ends = F.array(
+        F.struct(F.col("bin").alias("end"), (F.col("k") - F.col("upper")).alias("weight")),
+        F.struct((F.col("bin") + 1).alias("end"), F.col("upper").alias("weight")),
+    )
+    weights = sums.select(F.inline(ends)).groupBy("end").agg(F.sum("weight").alias("k"))
+    at = low + F.col("i") * gap
+    kernel = F.col("k") * F.exp(F.lit(-0.5) * F.pow(F.try_divide(at - (low + F.col("end") * width), h), F.lit(2)))
+    spread = weights.filter("k > 0").select("end", "k", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i"))
+    totals = spread.groupBy("i").agg(F.sum(kernel).alias("s"))
+    return totals.select(at.alias("x"), F.try_divide(F.col("s"), n * h * math.sqrt(2 * math.pi)).alias("density"))
+
+
 BROADCAST_GROUPS = 100_000
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 

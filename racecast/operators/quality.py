@@ -41,17 +41,35 @@ def null_rows(df: DataFrame, c: str) -> DataFrame:
     return df.filter(F.col(c).isNull())
 
 
-def cardinality(df: DataFrame, columns: Sequence[str] | None = None, approximate: bool = False) -> DataFrame:
+def _as_key(df: DataFrame, c: str) -> Column:
+    """The value as text, equal for equal values only."""
+    kind = df.schema[c].dataType
+    if isinstance(kind, T.BinaryType):
+        return F.hex(c)
+    # -0.0 and 0.0 are one value.
+    return (F.col(c) + 0.0 if isinstance(kind, FLOATING) else F.col(c)).cast("string")
+
+
+def cardinality(
+    df: DataFrame, columns: Sequence[str] | None = None, approximate: bool = False, one_scan: bool = False
+) -> DataFrame:
     """(column_name, n_distinct): distinct non-NULL values per column.
 
     Exact counts take each column by itself, which reads a columnar table once in total and
-    shuffles distinct values only; one pass over all columns would multiply every row by their
-    number. ``approximate`` is one pass with a fixed-size sketch per column.
+    shuffles distinct values only. ``one_scan`` is for tables that are dear to read or to parse, such as CSV files: every
+    row is read once and gives a value for each column, made distinct within its task before anything is shuffled.
+    ``approximate`` is one pass with a fixed-size sketch per column.
     """
     columns = list(columns or df.columns)
     if approximate:
         sketches = df.agg(*(F.approx_count_distinct(c).alias(f"{c}__n_distinct") for c in columns))
         return _rows(sketches, columns, ["n_distinct"])
+    if one_scan:
+        values = df.select(F.posexplode(F.array(*(_as_key(df, c) for c in columns))).alias("_i", "_v"))
+        counts = values.filter(F.col("_v").isNotNull()).distinct().groupBy("_i").agg(F.count(F.lit(1)).alias("_n"))
+        # A column without a value has no row there.
+        all_ = df.sparkSession.createDataFrame(list(enumerate(columns)), "_i int, column_name string")
+        return all_.join(counts, "_i", "left").select("column_name", F.coalesce("_n", F.lit(0)).alias("n_distinct"))
     counts = (df.agg(F.countDistinct(c).alias("n_distinct")).select(F.lit(c).alias("column_name"), "n_distinct")
               for c in columns)
     return reduce(DataFrame.unionByName, counts)

@@ -49,6 +49,8 @@ def _hashed(df: DataFrame, keys: Sequence[str], like: DataFrame) -> Column:
 
 def _candidates(df: DataFrame, keys: Sequence[str], skew: Skew) -> DataFrame:
     """(_hash, _count, _rows): the most frequent key hashes with their estimated counts, and the number of rows."""
+    if skew.share * skew.tracked < 7:
+        raise ValueError(f"a share of {skew.share} needs {math.ceil(7 / skew.share)} tracked items or more")
     hashes = df.select(_hashed(df, keys, df).alias("h"))
     top = F.call_function("approx_top_k", F.col("h"), F.lit(skew.most), F.lit(skew.tracked))
     found = hashes.agg(top.alias("top"), F.count(F.lit(1)).alias("_rows"))

@@ -5,6 +5,10 @@ from __future__ import annotations
 import math
 
 
+# Fixed values in the SQL below: season months, day bands, position groups, stop labels and failures, as in ``functions.labels``
+# and ``plans.race``.
+
+
 def season(month: str) -> str:
     return (
         f"CASE WHEN {month} BETWEEN 3 AND 5 THEN 'Spring' WHEN {month} BETWEEN 6 AND 8 THEN 'Summer' "
@@ -61,6 +65,7 @@ def stops(table: str, keys: str, duration: str, lap: str) -> str:
           FROM {table} GROUP BY {keys})"""
 
 
+# The labels of stop frequencies.
 LABEL = (
     "CASE WHEN total_stops > 2 THEN 'High Pit Stop Frequency' WHEN total_stops <= 2 "
     "THEN 'Low Pit Stop Frequency' ELSE 'Normal Pit Stop Frequency' END"
@@ -236,6 +241,7 @@ with_laps AS (SELECT * FROM with_teams JOIN status USING (statusId) JOIN lapTime
 base AS (SELECT * FROM with_laps JOIN pitStops USING (raceId, driverId))
 """
 
+# The statuses that mean a failure.
 FAILURES = (
     "('Engine', 'Spun-off', 'Collision', 'Gearbox-off', 'Accident', 'Hydraulics', 'Suspension', 'Brakes', 'Clutch')"
 )
@@ -423,6 +429,7 @@ ORACLES: dict[str, str] = {
         HAVING count(*) FILTER (WHERE l_returnflag = 'R') > 0 ORDER BY wins DESC, s_suppkey""",
     "q_histogram": histogram("(SELECT year(o_orderdate) AS y FROM orders)", "y"),
     "q_density": density("(SELECT year(o_orderdate) AS y FROM orders)", "y", 50),
+    "q_density_binned": density("lineitem", "l_quantity", 50),
     "q_pairs": pairs(CUSTOMER_WINS, "total_races", "total_wins"),
     "q_corr": f"SELECT round(corr(total_races, total_wins), 6) + 0.0 AS corr FROM {CUSTOMER_WINS}",
     "q_mean_by": mean_by("lineitem", "l_linenumber", "l_quantity"),
@@ -585,6 +592,7 @@ ORACLES |= {
         JOIN c ON c.constructorId = r.constructorId AND c.raceId = r.raceId
         LEFT JOIN drivers ON drivers.driverId = r.driverId""",
 }
+ORACLES["q_cardinality_one_scan"] = ORACLES["q_cardinality"]
 for _name in ("q_position_change", "q_experience", "q_win_rate_as_of", "q_box_stats", "q_auc_by_key"):
     ORACLES[f"{_name}_cut"] = ORACLES[_name]
 
@@ -646,6 +654,9 @@ ORACLES |= {
     "q_base_table_hot": f"""
         SELECT h.*, c_nationkey, quantity FROM {HOT} h JOIN customer ON custkey = c_custkey
         JOIN (SELECT l_orderkey, sum(l_quantity) AS quantity FROM lineitem GROUP BY 1) ON o_orderkey = l_orderkey""",
+    "q_null_key_merge": f"""
+        SELECT h.*, n, worst FROM {HOT} h
+        JOIN (SELECT custkey AS k, count(*) AS n, max(place) AS worst FROM {HOT} GROUP BY 1) ON custkey IS NOT DISTINCT FROM k""",
     "q_csv_types": """
         SELECT CAST(position AS INTEGER) AS position, column_name, CASE
             WHEN n = 0 THEN 'string'

@@ -311,6 +311,11 @@ def q_cardinality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.cardinality(read(spark, folder, "lineitem"))
 
 
+@query
+def q_cardinality_one_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.cardinality(read(spark, folder, "lineitem"), one_scan=True)
+
+
 @query
 def q_describe(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(quality.describe(read(spark, folder, "lineitem")), 4, "mean", "stddev")
@@ -405,6 +410,13 @@ def q_density(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(explore.density_grid(orders, "year", points=50), 6, "x", "density")
 
 
+@query
+def q_density_binned(spark: SparkSession, folder: str) -> DataFrame:
+    """With bins whose ends are the values themselves the binned density is the exact one."""
+    lines = read(spark, folder, "lineitem").select("l_quantity")
+    return rounded(explore.density_binned(lines, "l_quantity", points=50, bins=49 * 80), 6, "x", "density")
+
+
 def _customer_wins(spark: SparkSession, folder: str) -> DataFrame:
     return features.win_rate(read(spark, folder, "orders"), "o_custkey", "o_orderkey", _finished())
 
@@ -929,6 +941,14 @@ def q_base_table_hot(spark: SparkSession, folder: str) -> DataFrame:
     return dataset.base_table(_hot_orders(spark, folder), joins, heavy=skew.DEFAULT_SKEW)
 
 
+@query
+def q_null_key_merge(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders with the totals of their customer, those without a customer with the totals of all such."""
+    orders = _hot_orders(spark, folder)
+    totals = orders.groupBy("custkey").agg(F.count(F.lit(1)).alias("n"), F.max("place").alias("worst"))
+    return dataset.base_table(orders, [(totals, "custkey")], null_safe=True)
+
+
 # --- CSV files --------------------------------------------------------------------------------
 
 

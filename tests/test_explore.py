@@ -145,3 +145,36 @@ def test_base_table_keeps_entries_all_tables_know(spark):
     assert base.columns == ["r", "d", "name", "laps"]
     assert sorted(map(tuple, base.collect())) == [(1, 1, "x", 9), (2, 1, "x", 8)]
     assert dataset.base_table(entries, [(laps, ["r", "d"])], how="left").count() == 3
+
+
+def test_binned_density_is_within_its_bound(spark):
+    import random
+
+    rng = random.Random(6)
+    values = [rng.gauss(0, 1) for _ in range(3000)] + [rng.expovariate(1) for _ in range(2000)] + [None, float("nan")]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    known = [v for v in values if v is not None and v == v]
+    for bins in (50, 400):
+        exact = {round(r.x, 9): r.density for r in explore.density_grid(df, "x", 60, bandwidth=0.2).collect()}
+        binned = {round(r.x, 9): r.density for r in explore.density_binned(df, "x", 60, bins, 0.2).collect()}
+        bound = explore.binning_error((max(known) - min(known)) / bins, 0.2)
+        assert exact.keys() == binned.keys()
+        off = max(abs(exact[x] - binned[x]) for x in exact)
+        assert 0 < off <= bound
+
+
+def test_binned_density_has_one_row_a_bin(spark):
+    df = spark.range(20_000).selectExpr("double(id) / 7 AS x")
+    plan = explore.density_binned(df, "x", 10, 64)
+    assert plan.count() == 10
+    assert explore.density_binned(df.limit(0), "x").count() == 0
+
+
+def test_cardinality_in_one_scan(spark):
+    rows = [(1, 0.0, "a", b"\x80", None), (1, -0.0, "b", b"\x81", None), (2, 1.5, None, b"\x80", None), (None, 1.5, "a", None, None)]
+    df = spark.createDataFrame(rows, "i int, x double, s string, b binary, n string")
+    got = {r.column_name: r.n_distinct for r in quality.cardinality(df, one_scan=True).collect()}
+    assert got == {r.column_name: r.n_distinct for r in quality.cardinality(df).collect()} == {"i": 2, "x": 2, "s": 2, "b": 2, "n": 0}
+    text = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    plan = quality.cardinality(text, one_scan=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1

@@ -42,10 +42,10 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(ORACLES))
+@pytest.mark.parametrize("name", [n for n in sorted(ORACLES) if n.startswith("q_")])
 def test_plan_has_no_cross_join_and_no_python(spark, name):
-    found = re.findall(r"CartesianProduct|BroadcastNestedLoopJoin|EvalPython|MapInPandas", plan(QUERIES[name](spark, SF)))
-    assert not found
+    text = plan(QUERIES[name](spark, SF))
+    assert not re.findall(r"CartesianProduct|BroadcastNestedLoopJoin|EvalPython|InPandas|InArrow", text)
 
 
 def formatted(df):

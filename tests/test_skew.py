@@ -57,6 +57,11 @@ def test_heavy_keys_are_few_and_right(rows):
     assert skew.heavy_keys(rows.filter("k <> 7"), ["k"], SHARP) == []
 
 
+def test_shares_too_small_for_the_sketch_are_refused(rows):
+    with pytest.raises(ValueError, match="tracked"):
+        skew.heavy_hitters(rows, ["k"], share=0.001, tracked=1_000)
+
+
 def test_no_heavy_key_plans_the_plain_join(rows, names):
     even = rows.filter("k <> 7")
     plan = skew.salted_join(even, names, ["k"], "inner", SHARP)._jdf.queryExecution().optimizedPlan().toString()
@@ -119,3 +124,24 @@ def test_no_task_reads_twice_the_median(tmp_path):
     sizes = task_sizes(tmp_path)
     assert len(sizes) == 16 and sum(sizes) > 300_000
     assert max(sizes) <= 2 * statistics.median(sizes)
+
+
+@pytest.mark.parametrize("heavy", [None, SHARP])
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_merge_with_null_keys(spark, rows, how, heavy):
+    from racecast.operators.dataset import base_table
+
+    far = spark.createDataFrame([(None, "none"), (7, "seven"), (9999, "other")], "k int, name string")
+    got = base_table(rows, [(far, "k")], how=how, heavy=heavy, null_safe=True)
+    want = [(r.k, r.v, {None: "none", 7: "seven"}.get(r.k)) for r in rows.collect() if how == "left" or r.k in (None, 7)]
+    assert got.columns == ["k", "v", "name"] and as_set(got) == sorted(map(repr, want))
+    assert base_table(rows, [(far, "k")], how="inner").filter("k is null").count() == 0
+
+
+def test_full_merge_with_null_keys_keeps_both_sides(spark):
+    from racecast.operators.dataset import base_table
+
+    one = spark.createDataFrame([(None, 1), (1, 2)], "k int, a int")
+    two = spark.createDataFrame([(None, 3), (2, 4)], "k int, b int")
+    got = {tuple(r) for r in base_table(one, [(two, "k")], how="full", null_safe=True).collect()}
+    assert got == {(None, 1, 3), (1, 2, None), (2, None, 4)}
