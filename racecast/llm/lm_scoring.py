@@ -20,13 +20,16 @@ from pyspark.sql import functions as F
 
 from racecast.llm.common import Scratch, string_bytes, slices
 from racecast.llm.elias_fano import Trie
-from racecast.llm.words import LOWER, ODD, HashArray, mix, word_hashes
+from racecast.llm.words import LOWER, ODD, mix, word_hashes
 
 ORDER = 2
 BLOCK_BYTES = 5_000_000
 SHARD_BYTES = 6_000_000
 # How many observations the shorter n-gram's probability counts for.
 STRENGTH = 20.0
+# Bytes of text hashed, and n-grams looked up, at a time: what a worker holds beside its block.
+HASHED_BYTES = 400_000
+LOOKED_UP = 65_536
 END, START = np.uint64(0x454E44), np.uint64(0x5354415254)
 
 
@@ -60,7 +63,7 @@ class Tokens:
         self.keys, self.train = docs.column("key").combine_chunks(), docs.column("train").to_numpy()
         data, offsets = string_bytes(docs.column("text"))
         hashes, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-        for first, last in slices(offsets):
+        for first, last in slices(offsets, HASHED_BYTES):
             own = LOWER[data[offsets[first] : offsets[last]]]
             h, c = word_hashes(own, offsets[first : last + 1] - offsets[first])
             hashes.append(h)
@@ -93,6 +96,17 @@ class Tokens:
         return out
 
 
+def ranked(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rank of each key among the distinct ones, and the first place of each distinct key, in key order."""
+    order = np.argsort(keys, kind="stable")
+    ordered = keys[order]
+    new = np.r_[True, ordered[1:] != ordered[:-1]] if len(ordered) else np.zeros(0, bool)
+    del ordered
+    rank = np.empty(len(keys), np.int32)
+    rank[order] = np.cumsum(new, dtype=np.int32) - np.int32(1)
+    return rank, order[new].astype(np.int32)
+
+
 def counted(keys: np.ndarray, learnt: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys, sorted, and how often each is learnt."""
     ordered = np.sort(keys)
@@ -180,15 +194,12 @@ def model_slice(
     each count, unseen ones being one more token.
     """
     # Words by number: the block's tokens in hash order; the start, as context only, is the last.
-    keys = {k: counted(tokens.grams(k), tokens.learnt)[0] for k in range(1, order + 1)}
-    at = {k: HashArray(keys[k], keys[k]).find(tokens.grams(k)).astype(np.int64) for k in keys}
-    first = {}
-    for k in keys:  # some place where each distinct n-gram stands
-        first[k] = np.zeros(len(keys[k]), np.int64)
-        first[k][at[k]] = np.arange(len(at[k]))
-    word, start = at[1], len(keys[1])
+    at, first = {}, {}  # rank of the n-gram at each place, and a place where each distinct one stands
+    for k in range(1, order + 1):
+        at[k], first[k] = ranked(tokens.grams(k))
+    word, start = at[1], len(first[1])
     count = {1: np.append(totals[1], 0)}
-    ends = np.flatnonzero(keys[1] == END)
+    ends = np.flatnonzero(tokens.hashes[first[1]] == END)
     count[1][start] = count[1][ends[0]] if len(ends) else 0
     single = np.log10((count[1] + 1) / (n + v + 1))
     single[start] = 0.0
@@ -220,14 +231,28 @@ def model_slice(
         levels.append((parent[order_], word[place[order_]], np.log10(exact[k][order_]), left(totals[k][order_])))
     trie = Trie.build(folder, levels, start + 1)
 
-    # Query each distinct longest n-gram: from the longest context down until a level has it.
+    del levels, exact, entry_of
     place = first[order]
+    # Query each distinct longest n-gram, in the order of the trie, so that neighbours read the same places.
     numbers = {
-        back: np.where(tokens.place[place] >= back, word[np.maximum(place - back, 0)], start) for back in range(order)
+        back: np.where(tokens.place[place] >= back, word[np.maximum(place - back, 0)], start).astype(np.int64)
+        for back in range(order)
     }
+    by = np.argsort(numbers[order - 1] << 32 | numbers[max(order - 2, 0)])
     result = np.zeros(len(place))
-    # In the order of the trie, so that neighbours read the same places.
-    open_ = np.argsort(numbers[order - 1] << 32 | numbers[max(order - 2, 0)])
+    for begin in range(0, len(by), LOOKED_UP):
+        own = by[begin : begin + LOOKED_UP]
+        result[own] = looked_up(trie, [numbers[back][own] for back in range(order)])
+    return count[1][word], result[at[order]]
+
+
+def looked_up(trie: Trie, numbers: list[np.ndarray]) -> np.ndarray:
+    """log10 probability of n-grams whose word ``back`` places before the last is ``numbers[back]``.
+
+    From the longest context down until a level has the n-gram.
+    """
+    order = len(numbers)
+    result, open_ = np.zeros(len(numbers[0])), np.arange(len(numbers[0]))
     for k in range(order, 0, -1):
         entry = numbers[k - 1][open_]
         for level in range(1, k):
@@ -240,7 +265,7 @@ def model_slice(
         open_ = open_[~hit]
         if not len(open_):
             break
-    return count[1][word], result[at[order]]
+    return result
 
 
 def _score(order: int, n: int, v: int, strength: float):
