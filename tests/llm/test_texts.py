@@ -191,16 +191,15 @@ def test_edit_distance(a, b, most):
 
 
 def kept_lines(texts):
-    """Brute force over all pairs of lines."""
+    """Brute force over all pairs of lines, by edit similarity alone."""
     lines = [(i, k, x) for i, t in sorted(texts.items()) for k, x in enumerate((t or "").split("\n"))]
     forms = [line_dedup.normal_form(x) for _, _, x in lines]
     first: dict[str, int] = {}
     own = [first.setdefault(f, k) for k, f in enumerate(forms)]
     classes = [k for f, k in first.items() if f]
-    data = "".join(forms[k] + "\n" for k in classes).encode()
-    sizes = [len(forms[k].encode()) + 1 for k in classes]
-    hashes, counts = word_hashes(np.frombuffer(data, np.uint8), np.concatenate([[0], np.cumsum(sizes)]))
-    sims = line_dedup.simhashes(hashes, counts)
+    classes.sort(key=lambda k: len(forms[k]))
+    sizes = np.array([len(forms[k]) for k in classes])
+    letters = np.array([np.bincount([ord(x) % 64 for x in forms[k]], minlength=64) for k in classes]).reshape(-1, 64)
     group = {k: k for k in classes}
 
     def root(k):
@@ -209,7 +208,9 @@ def kept_lines(texts):
         return k
 
     for a in range(len(classes)):
-        for b in np.flatnonzero(np.bitwise_count(sims[a + 1 :] ^ sims[a]) <= line_dedup.DISTANCE) + a + 1:
+        most = int(0.1 * sizes[a] / 0.9 + 1)  # edits turn at most two counts of letters each
+        end = np.searchsorted(sizes, sizes[a] + most, "right")
+        for b in np.flatnonzero(np.abs(letters[a + 1 : end] - letters[a]).sum(axis=1) <= 2 * most) + a + 1:
             if line_dedup.similar(forms[classes[a]], forms[classes[b]]):
                 x, y = root(classes[a]), root(classes[b])
                 group[max(x, y)] = min(x, y)
@@ -225,6 +226,40 @@ def test_line_dedup_query(spark, texts):
     assert got == kept_lines(texts)
 
 
+@pytest.mark.parametrize("n", [5, 6, 7, 8, 12, 20, 23, 24, 30, 45, 63, 64, 80])
+def test_near_lines_share_a_block(n):
+    """One word of every fifteen changed, left out or added; words of some letters."""
+    rng = np.random.default_rng(n)
+    lines, found, total = [], 0, 0
+    for _ in range(200):
+        words = ["".join(rng.choice(list("abcdefghijklmnopqrst"), 7)) for _ in range(n)]
+        other = list(words)
+        for at in sorted(rng.choice(n, max(1, n // 15), replace=False).tolist(), reverse=True):
+            other[at : at + 1] = [[other[at][:-1] + "x"], [], [other[at], "yz"]][rng.integers(3)]
+        lines.append((" ".join(words), " ".join(other)))
+    for a, b in lines:
+        if line_dedup.similar(a, b):
+            hashes, counts = word_hashes(np.frombuffer(f"{a}\n{b}\n".encode(), np.uint8), np.array([0, len(a) + 1, len(a) + len(b) + 2]))
+            sims = line_dedup.simhashes(hashes, counts)
+            keys, own = line_dedup.line_blocks(hashes, counts)
+            shared = set(keys[: own[0]].tolist()) & set(keys[own[0] :].tolist())
+            found += bool(shared) and int(sims[0] ^ sims[1]).bit_count() <= line_dedup.DISTANCE
+            total += 1
+    assert total > 50 and found >= 0.95 * total
+
+
+def test_letters_lose_no_similar_pair():
+    rng = np.random.default_rng(1)
+    forms = [line_dedup.normal_form("".join(rng.choice(list("abc é日x 7"), rng.integers(5, 60)))) or "a" for _ in range(60)]
+    forms += [f[:3] + "日b" + f[4:] for f in forms]
+    data = np.frombuffer("".join(f + "\n" for f in forms).encode(), np.uint8)
+    bounds = np.cumsum([0] + [len(f.encode()) + 1 for f in forms])
+    letters = line_dedup.letter_counts(data, bounds, ~line_dedup.SPACES[data] & (data & 0xC0 != 0x80))
+    size = np.array([len(f) for f in forms])
+    pairs = np.array([(a, b) for a in range(120) for b in range(120) if line_dedup.similar(forms[a], forms[b], 0.8)])
+    assert len(pairs) > 120 and line_dedup.maybe(pairs[:, 0], pairs[:, 1], size, letters, 0.8).all()
+
+
 def test_line_dedup_groups_of_near_lines_and_odd_rows(spark):
     base = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen " * 3
     rows = [(k, f"{base} tail{k % 7}x\n\nunique line number {'abcdefghijklmnopqrst'[k]} of all", "z") for k in range(20)]
