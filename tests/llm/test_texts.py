@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -221,6 +222,47 @@ def kept_lines(texts):
     return {i: "\n".join(out[i]) for i in texts}
 
 
+def test_pairs_verified_together_as_one_by_one():
+    rng = np.random.default_rng(5)
+    texts = ["", "a"]
+    for size in rng.integers(1, 400, 60):
+        texts.append("".join(rng.choice(list("abcé日 "), size)))
+        for _ in range(3):
+            other = list(texts[-1])
+            for at in rng.integers(0, len(other) or 1, rng.integers(1, 2 + len(other) // 6) if other else 0):
+                other[at] = rng.choice(["", "a", "xy", "日"])
+            texts.append("".join(other))
+    a, b = (x.ravel() for x in np.meshgrid(np.arange(len(texts)), np.arange(len(texts))))
+    near = np.abs(a - b) < 4
+    a, b = a[near], b[near]
+    for similarity in (0.9, 0.6):
+        most = [int((1 - similarity) * max(len(texts[i]), len(texts[j])) + 1e-9) for i, j in zip(a, b)]
+        want = [line_dedup.within(texts[i], texts[j], m) for i, j, m in zip(a, b, most)]
+        got = line_dedup.Characters(texts).within(a, b, np.array(most))
+        assert got.tolist() == want and 300 < sum(want) < len(want)
+    for wide in ([chr(0x4E00 + k) for k in range(300)], [chr(0x1000 + k) for k in range(66_000) if not 0xD800 <= 0x1000 + k < 0xE000]):
+        line = "".join(wide)
+        pair = line_dedup.Characters([line, line[:7] + "x" + line[8:-1]])
+        assert [pair.within(*(np.array([v]) for v in (0, 1, m)))[0] for m in (1, 2)] == [False, True]
+
+
+def test_lines_of_a_group_are_verified_without_a_run_of_python_for_each_pair(monkeypatch):
+    """Each pair that is not similar was verified twice, one pair at a time."""
+    rng, calls = np.random.default_rng(6), []
+    line = rng.choice(list("abcdefgh"), 300)
+    forms = ["".join(np.where(rng.random(300) < share, "z", line)) for share in (0.0, 0.02, 0.03, *[0.3] * 60)]
+    alone = line_dedup.within
+    monkeypatch.setattr(line_dedup, "within", lambda *x: calls.append(x) or alone(*x))
+    n = len(forms)
+    zeros = pa.array(np.zeros(n, np.int64))
+    columns = {c: zeros for c in ("root", "side", "other", "sim", "letters")}
+    rows = pa.table({"node": pa.array(range(n)), "size": pa.array([300] * n), "form": pa.array(forms), **columns})
+    links = line_dedup._verified(64, 0.9)(rows).to_pylist()
+    assert {(min(x.values()), max(x.values())) for x in links} >= {(0, 1)} and not calls
+    joined = line_dedup.forest(n, *(np.array([x[c] for x in links]) for c in "uv"))
+    assert joined[0].tolist() == [1, 2] and joined[1].tolist() == [0, 0]
+
+
 def test_line_dedup_query(spark, texts):
     got = {r["doc_id"]: r["text"] for r in QUERIES["op10_line_dedup"](spark, SF).collect()}
     assert got == kept_lines(texts)
