@@ -25,6 +25,8 @@ from racecast.session import materialise
 FEATURES, LABEL = "features", "label"
 # Values that a tree's bins hold by default, and up to which a table of values is broadcast.
 TREE_CATEGORIES, BROADCAST_VALUES = 32, 100_000
+# Numbers of feature vectors that one task of a fit holds: 64 MB.
+TASK_NUMBERS = 8_000_000
 
 # Settings of the linear SVM and the grid of the cross-validation.
 SVM_SETTINGS = {"maxIter": 10, "regParam": 0.1}
@@ -102,6 +104,18 @@ def fit_features(train: DataFrame, label: str, features: Sequence[str]) -> Model
     ).fit(train)
 
 
+def in_tasks(ready: DataFrame, features: int) -> DataFrame:
+    """Rows with vectors made of so many ``features``, in as many parts that each holds a bounded number of numbers.
+
+    Files of vectors are read in parts of a size in bytes, but are many times larger once decoded, and estimators keep
+    the decoded rows of a part and read them in each iteration. Small tables stay as they are.
+    """
+    width = ready.schema[FEATURES].metadata.get("ml_attr", {}).get("num_attrs", 2 * features)
+    # A sparse vector has an entry for each feature at most, of a number and its place.
+    parts = -(-ready.count() * min(width, 2 * features) // TASK_NUMBERS)
+    return ready.repartition(parts) if parts > ready.rdd.getNumPartitions() else ready
+
+
 def fit_models(
     train: DataFrame,
     label: str,
@@ -111,13 +125,13 @@ def fit_models(
 ) -> dict[str, PipelineModel]:
     """Each estimator as a model that takes raw rows: categories, features and classifier in one.
 
-    Encoding is fitted and its result materialised once for all estimators.
+    Encoding is fitted and its result materialised once for all estimators, which read it in parts of bounded size.
     """
     indexers = fit_categories(train, categories)
     indexed = indexers.transform(train)
     names = [f"{c}_index" if c in categories else c for c in features]
     formula = fit_features(indexed, label, names)
-    ready = materialise(formula.transform(indexed).select(FEATURES, LABEL))
+    ready = in_tasks(materialise(formula.transform(indexed).select(FEATURES, LABEL)), len(names))
     fitted = {name: estimator.fit(ready) for name, estimator in (estimators or default_classifiers()).items()}
     return {name: PipelineModel(stages=[indexers, formula, model]) for name, model in fitted.items()}
 
