@@ -18,7 +18,7 @@ from racecast.models import hashing, inference, metrics, training
 from racecast.operators.ordered import Split
 from racecast.operators import dataset, explore, features, history, quality, skew
 from racecast.plans import race, stand_in
-from racecast.session import scratch_folder
+from racecast.session import materialise, scratch_folder
 from racecast.sources import CsvTable, found_types, load_all, preview, read_csv
 from racecast.sources.schemas import NULL_TEXT
 
@@ -748,7 +748,8 @@ def q_race_predict(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def q_race_importance(spark: SparkSession, folder: str) -> DataFrame:
     base = race.training_table(_race_base(spark, folder)).na.drop("any", subset=list(race.CATEGORIES))
-    rows = quality.impute(base, mean=["age"])
+    # Read by the mean, by each category's counts and by the encoding.
+    rows = quality.impute(materialise(base.select("status", *race.FEATURES, *race.CATEGORIES)), mean=["age"])
     models = training.fit_models(
         rows, "status", race.FEATURES + race.CATEGORIES, race.CATEGORIES,
         {"logistic_regression": LogisticRegression()},
