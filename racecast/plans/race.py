@@ -369,11 +369,13 @@ def finish_models(
     """(models, report) for "will this driver finish?", from a base table with open means.
 
     Split by entry, gaps (also of ages, where a date of birth cannot be read) filled from the training rows,
-    encoders fitted on the training rows. Entries without one of the categories are left out.
+    encoders fitted on the training rows. Entries without one of the categories are left out. Only the columns used are
+    kept, so that what the others of the base table need is not computed.
     """
     categories = [c for c in features if c in CATEGORIES]
     means = [c for c in (*MEAN_FILLED, "age") if c in features]
-    rows = materialise(training_table(base).na.drop("any", subset=categories))
+    used = dict.fromkeys([*ENTRY, "status", *features])
+    rows = materialise(training_table(base).na.drop("any", subset=categories).select(*used))
     train, test = split_by_hash(rows, ENTRY, ratio, seed)
     if means:
         of_train = imputation_means(train, means)

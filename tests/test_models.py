@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from racecast.models import metrics, training
 from racecast.operators.dataset import split_by_hash
 from racecast.operators.ordered import DEFAULT_SPLIT, Split
-from racecast.plans import race, stand_in
+from racecast.plans import queries, race, stand_in
 
 SF = "/root/testdata/sf0.001"
 
@@ -149,3 +149,45 @@ def test_race_models(spark):
     chances = training.predict_event(models["logistic_regression"], upcoming, race.ENTRY)
     assert chances.columns == ["raceId", "driverId", "finish_probability", "prediction"]
     assert chances.filter("finish_probability between 0 and 1").count() == upcoming.count() > 100
+
+
+class Parts(LogisticRegression):
+    """Notes in how many parts the rows of a fit are read."""
+
+    def fit(self, rows, params=None):
+        self.sizes = rows.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
+        return super().fit(rows, params)
+
+
+def test_fit_reads_parts_of_bounded_size(spark, monkeypatch):
+    """Decoded vectors are many times larger than their files, of which one task read up to 128 MB."""
+    monkeypatch.setattr(training, "TASK_NUMBERS", 200, raising=False)
+    rows = spark.range(0, 1000, 1, 2).select((F.col("id") % 3 % 2).alias("y"), F.col("id").alias("x"), (F.col("id") % 7).alias("z"))
+    rows = rows.withColumn("t", F.concat(F.lit("v"), F.col("x") % 40))
+    spy = Parts()
+    training.fit_models(rows, "y", ["x", "z"], estimators={"spy": spy})
+    assert sum(spy.sizes) == 1000 and max(spy.sizes) <= 150
+    # A text feature's vector is wide, but sparse.
+    training.fit_models(rows, "y", ["x", "t"], estimators={"spy": spy})
+    assert sum(spy.sizes) == 1000 and max(spy.sizes) <= 75 and len(spy.sizes) == 20
+    monkeypatch.setattr(training, "TASK_NUMBERS", 1 << 40, raising=False)
+    training.fit_models(rows, "y", ["x", "z"], estimators={"spy": spy})
+    assert len(spy.sizes) <= 2
+
+
+def test_finish_models_keep_only_the_columns_used(spark, monkeypatch):
+    kept = []
+    base = race.race_base_table(race.clean_tables(stand_in.race_tables(spark, SF), False, lap_order=stand_in.LAP_ORDER))
+    monkeypatch.setattr(race, "materialise", lambda df: kept.append(df) or df.persist())
+    race.finish_models(base, ["raceId", "points", "max_position"], {"tree": DecisionTreeClassifier()})
+    assert kept[0].columns == ["raceId", "driverId", "status", "points", "max_position"]
+
+
+def test_race_importance_reads_the_joined_tables_once(spark, monkeypatch):
+    seen = []
+    fit = training.fit_models
+    monkeypatch.setattr(training, "fit_models", lambda rows, *more: seen.append(rows) or fit(rows, *more))
+    assert queries.q_race_importance(spark, SF).count() == 27
+    plan = seen[0]._jdf.queryExecution().analyzed().toString()
+    cached = seen[0]._jdf.queryExecution().withCachedData().toString()
+    assert "Join" not in plan or "InMemoryRelation" in cached
