@@ -263,6 +263,50 @@ def test_lines_of_a_group_are_verified_without_a_run_of_python_for_each_pair(mon
     assert joined[0].tolist() == [1, 2] and joined[1].tolist() == [0, 0]
 
 
+@pytest.mark.parametrize("cut", [False, True])
+def test_links_of_a_group_of_near_lines_are_fewer_than_its_lines(cut, monkeypatch):
+    """Lines that were not joined yet met every line of a group: its links and runs grew with the square of its size."""
+    rng, tried = np.random.default_rng(8), []
+    line = rng.choice(list("abcdefgh"), 300)
+    forms = ["".join(np.where(rng.random(300) < 0.03, "z", line)) for _ in range(200)]
+    forms += ["".join(rng.choice(list("ijkl"), 300)) for _ in range(3)]
+    together = line_dedup.Characters.within
+    monkeypatch.setattr(line_dedup.Characters, "within", lambda self, a, *x: tried.append(len(a)) or together(self, a, *x))
+    n = len(forms)
+    zeros = np.zeros(n, np.int64)
+    side = np.arange(n) % 2 * cut
+    columns = {"side": side, "other": 1 - side if cut else side} | {c: zeros for c in ("root", "sim", "letters")}
+    rows = pa.table({"node": np.arange(n), "size": zeros + 300, "form": forms, **columns})
+    links = line_dedup._verified(64, 0.9)(rows).to_pylist()
+    assert len(links) == 199 and sum(tried) < 1000
+    joined = line_dedup.forest(n, *(np.array([x[c] for x in links]) for c in "uv"))
+    assert joined[0].tolist() == list(range(1, 200)) and set(joined[1].tolist()) == {0}
+
+
+def test_counts_of_neighbouring_characters_lose_no_similar_pair():
+    rng = np.random.default_rng(9)
+    forms = ["", "a"] + ["".join(rng.choice(list("abcé日 "), rng.integers(1, 60))) for _ in range(80)]
+    forms += [f[:3] + "日b" + f[4:] for f in forms]
+    a, b = (x.ravel() for x in np.meshgrid(np.arange(len(forms)), np.arange(len(forms))))
+    apart = np.array([distance(forms[x], forms[y]) for x, y in zip(a, b)])
+    bigrams = line_dedup.Bigrams(forms)
+    assert bigrams.allow(a, b, apart).all() and not bigrams.allow(a, b, apart // 3).all()
+
+
+def test_rows_of_shared_buckets_over_batches():
+    """All rows went on to the shuffle with all columns, also those of buckets with a single class."""
+    rng = np.random.default_rng(10)
+    for width in (1, 2, 7, 300):
+        bucket = np.sort(np.r_[rng.integers(0, 200, 150), [300] * 20])
+        rows = pa.record_batch({"bucket": bucket, "node": np.arange(len(bucket))})
+        parts = [rows.slice(0, 0), *(rows.slice(k, width) for k in range(0, len(bucket), width))]
+        got = [x for part in line_dedup._shared(iter(parts)) for x in part.column("node").to_pylist()]
+        _, at, n = np.unique(bucket, return_inverse=True, return_counts=True)
+        want = np.flatnonzero(n[at] > 1).tolist()
+        # A row goes out once another one of its bucket is seen.
+        assert sorted(got) == want and 0 < len(want) < len(bucket)
+
+
 def test_line_dedup_query(spark, texts):
     got = {r["doc_id"]: r["text"] for r in QUERIES["op10_line_dedup"](spark, SF).collect()}
     assert got == kept_lines(texts)
